@@ -4,26 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import lower_ascii, table
+from lectern.llm import quality_classifier, toxicity
+from lectern.llm.common import table
 from lectern.llm.html_extract import extract_pages
+from lectern.llm.quality_rules import apply_rules
 from lectern.llm.simhash import group_near_duplicates
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return group_near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _scored(docs: DataFrame, held_out: Column) -> DataFrame:
+    held = F.coalesce(held_out, F.lit(False)).alias("held_out")
+    return docs.select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = quality_classifier.remainder(F.col("doc_id"), 5) == 0
+    ranker = quality_classifier.train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), ~held_out)
+    return _scored(quality_classifier.score_documents(docs, ranker), held_out)
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_pages(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = quality_classifier.remainder(F.col("doc_id"), 4) == 2
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), ~held_out)
+    return _scored(toxicity.score_documents(docs, model), held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_quality_rules": op5_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_html_extraction": op9_html_extraction,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -62,20 +62,13 @@ def ring_keys(fp: Column) -> Column:
     return F.array(*keys)
 
 
-_POPCOUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
-
-
-def _bits(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x) if hasattr(np, "bitwise_count") else _POPCOUNT[x.view(np.uint16).reshape(*x.shape, 4)].sum(axis=-1)
-
-
 def pigeonring(xor: np.ndarray, start: int, distance: int = DISTANCE) -> np.ndarray:
     """Whether chains of every length from ``start`` keep within their proportional budgets; ``xor``: uint64."""
     turned = xor if start == 0 else (xor << np.uint64(4 * start)) | (xor >> np.uint64(64 - 4 * start))
     ok = np.ones(xor.shape, bool)
     for length in (3, 7, 11, 15):  # between these the budget, rounded down, does not change
         chain = turned >> np.uint64(64 - 4 * length)
-        ok &= _bits(chain) <= length * distance // SEGMENTS
+        ok &= np.bitwise_count(chain) <= length * distance // SEGMENTS
     return ok
 
 
@@ -85,7 +78,7 @@ def _forest(fps: np.ndarray, start: int) -> list[tuple[int, int]]:
     def near(rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
         xor = rows[:, None] ^ cols[None, :]
         ok = pigeonring(xor, start)
-        ok[ok] = _bits(xor[ok]) <= DISTANCE
+        ok[ok] = np.bitwise_count(xor[ok]) <= DISTANCE
         return ok
 
     if len(fps) <= 64 and np.count_nonzero(near(fps, fps)) == len(fps):
