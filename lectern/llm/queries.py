@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import quality_classifier, toxicity
+from lectern.llm import packing, quality_classifier, toxicity
 from lectern.llm.common import table
+from lectern.llm.decontaminate import decontaminate
 from lectern.llm.html_extract import extract_pages
 from lectern.llm.quality_rules import apply_rules
 from lectern.llm.simhash import group_near_duplicates
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, keep_ids=False)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -49,10 +60,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP1_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS win
+       FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+dw AS (SELECT r, k, s, array_to_string(w[s:s + k - 1], ' ') AS win
+       FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
+hits AS (SELECT DISTINCT r, s, dw.k, item FROM dw JOIN iw ON dw.k = iw.k AND dw.win = iw.win),
+n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM hits) GROUP BY r),
+g AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN g USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL}
