@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from lectern.llm import packing, quality_classifier, toxicity
 from lectern.llm.common import table
+from lectern.llm.chat_format import digest, format_windows
 from lectern.llm.decontaminate import decontaminate
 from lectern.llm.html_extract import extract_pages
+from lectern.llm.line_dedup import dedup_lines
 from lectern.llm.quality_rules import apply_rules
 from lectern.llm.simhash import group_near_duplicates
 
@@ -25,11 +27,22 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, keep_ids=False)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"))
+    return digest(format_windows(turns.unionByName(planted)))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return group_near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -62,7 +75,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_chat_format": op6_chat_format,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_html_extraction": op9_html_extraction,
@@ -85,4 +100,29 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN n USING (r) LEFT JOIN g USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL}
+#: Budget 1024, two turns of history, as in chat_format: escaped lengths, the windows by prefix sums, and how many windows show a turn.
+OP6_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+a AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS idx,
+      length(regexp_replace(role, '[\\<>]', 'xx', 'g')) + length(regexp_replace(text, '[\\<>]', 'xx', 'g')) + 15 AS shown FROM t),
+b AS (SELECT *, role = 'system' AND idx = 0 AS leads,
+      CASE WHEN role = 'system' AND idx = 0 THEN 0 ELSE ceil(strlen(text) / 4.0)::BIGINT + 4 END AS tokens FROM a),
+c AS (SELECT *, greatest(1024 - coalesce(max(CASE WHEN leads THEN ceil(strlen(text) / 4.0)::BIGINT + 4 END) OVER (PARTITION BY conv_id), 0), 2) AS room,
+      coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM b),
+d AS (SELECT *, before // (room // 2) AS cell, tokens > room // 2 AS alone FROM c),
+e AS (SELECT *, idx > 0 AND (cell <> lag(cell) OVER w OR alone OR lag(alone) OVER w) AS opens FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY idx)),
+f AS (SELECT *, sum(opens::INT) OVER (PARTITION BY conv_id ORDER BY idx) AS win FROM e),
+g AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id, win) AS needs, max(win) OVER (PARTITION BY conv_id) AS last FROM f),
+h AS (SELECT *, 1 + CASE WHEN leads THEN last ELSE
+      coalesce((lead(opens, 1) OVER w AND lead(before, 1) OVER w - before <= room - lead(needs, 1) OVER w)::INT, 0) +
+      coalesce((lead(opens, 2) OVER w AND lead(before, 2) OVER w - before <= room - lead(needs, 2) OVER w)::INT, 0) END AS times
+      FROM g WINDOW w AS (PARTITION BY conv_id ORDER BY idx))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY idx)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY idx), '')) AS loss_sha256,
+       sum(shown * times)::BIGINT AS formatted_chars
+FROM h GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_chat_format": OP6_SQL, "op1_decontamination": OP1_SQL}
