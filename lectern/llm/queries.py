@@ -12,6 +12,7 @@ from lectern.llm.common import table
 from lectern.llm.chat_format import digest, format_windows
 from lectern.llm.decontaminate import decontaminate
 from lectern.llm.html_extract import extract_pages
+from lectern.llm.license_scan import scan_licenses
 from lectern.llm.line_dedup import dedup_lines
 from lectern.llm.quality_rules import apply_rules
 from lectern.llm.simhash import group_near_duplicates
@@ -22,6 +23,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, keep_ids=False)
@@ -74,6 +79,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_license_scan": op2_license_scan,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,

@@ -188,12 +188,28 @@ def group_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     rows and null texts (fingerprint 0) included; an empty table gives an empty one. Columns of ``docs`` with these two names are replaced.
 
     Equal fingerprints are one node from the start, so copies never meet in pairs."""
-    rows = fingerprints(docs.drop("component_id"), text)
-    narrow = cut(rows)
-    nodes = narrow.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(doc_id).alias("first"))
-    nodes = cut(nodes)
-    found = cut(components(links(nodes.select("fp"))))
-    grouped = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    narrow = cut(fingerprints(docs.drop("component_id"), text))
+    grouped = _roots(narrow, F.min(doc_id))
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     of = grouped.join(smallest, "root").select(F.col("fp").alias("__fp"), "component_id")
     return narrow.join(of, F.col("fingerprint") == F.col("__fp"), "left").drop("__fp")
+
+
+def _roots(narrow: DataFrame, first: Column) -> DataFrame:
+    """(fp, first, root) for each distinct fingerprint of ``narrow``."""
+    nodes = cut(narrow.groupBy(F.col("fingerprint").alias("fp")).agg(first.alias("first")))
+    found = cut(components(links(nodes.select("fp"))))
+    return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def keep_one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: that of the smallest id (nulls last), of equal ids that of the smallest text hash.
+
+    Only ids, hashes and fingerprints are grouped; the texts meet the chosen ids in a semi-join."""
+    narrow = cut(fingerprints(docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("__body")), "__body"))
+    grouped = _roots(narrow, F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")))
+    chosen = cut(grouped.groupBy("root").agg(F.min("first").alias("c")).select(F.col("c.id").alias("__id"), F.col("c.h").alias("__h")))
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h"))
+    kept = docs.join(chosen, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__h")), "left_semi")
+    repeated = narrow.join(chosen, same).groupBy("id", "h").count().where("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id, text])
