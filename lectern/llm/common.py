@@ -27,10 +27,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, with its lineage cut. For narrow rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, tasks_a_core: int | None = None) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, with its lineage cut. For narrow rows.
+
+    ``tasks_a_core``: at most so many files for each core, for results far smaller than their input, which else would be many tiny files."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    return (df.coalesce(tasks_a_core * spark.sparkContext.defaultParallelism) if tasks_a_core else df).checkpoint(eager=True)
 
 
 def bounded_batches(spark: SparkSession) -> None:

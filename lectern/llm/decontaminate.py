@@ -51,14 +51,14 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", tex
     3. A meeting gives the window's only possible start; the length bounds are checked, then the words.
     4. Each row also sends its word count, so documents move once, as numbers, to be grouped by id and text hash. Equal rows count as one group and come
        out as many times as they came in."""
-    windows = cut(item_windows(benchmark, item_id, item_text, width))
+    windows = cut(item_windows(benchmark, item_id, item_text, width), 1)
     n_windows = windows.count()
     tokens = windows.select(F.explode("window").alias("token")).distinct()
     counted = [rarity(docs, block, text) for block in _blocks(tokens, n_windows * width, F.col("token"), block_windows * width)]
     counts = counted[0]
     for more in counted[1:]:
         counts = counts.unionByName(more)
-    table = cut(prefixes(windows, counts))
+    table = cut(prefixes(windows, counts), 1)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("h"), words_of(F.col(text)).alias("words"))
     found = None
     for i, block in enumerate(_blocks(table, n_windows, F.col("window"), block_windows)):
