@@ -1 +1 @@
-
+"""Column functions on transcript text."""

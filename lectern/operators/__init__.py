@@ -1 +1 @@
-
+"""DataFrame operators: clips, segments, statistics, export, topics, fingerprints."""

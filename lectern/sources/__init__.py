@@ -1 +1 @@
-
+"""Reading and writing of transcript corpora."""
