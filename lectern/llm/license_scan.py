@@ -37,7 +37,7 @@ TEMPLATES: dict[str, str] = {
     "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 #: Words of which every template has one; a block is made of sentences with one.
-CUES = "(?i)licen[sc]e|rights reserved|redistribut|permission|warrant|copyright|public domain|free software|neighboring rights"
+CUES = "(?i)licen[sc]e|rights reserved|redistribut|permission|warrant|copyright|public domain|free software|neighboring rights|\\bMPL\\b|unencumbered|free to copy"
 _CUE = re.compile(CUES)
 _BREAK = re.compile(r"(?<=[.!?;:])\s+|\n+")
 _WORD = re.compile(r"[a-z0-9][a-z0-9.+-]*(?<![.-])")
