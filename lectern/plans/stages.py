@@ -78,9 +78,7 @@ def transcode(spark: SparkSession, cfg: config.Transcode, provider: Provider) ->
     dst, quality = cfg.dst, cfg.quality
 
     def work(r) -> None:
-        from pyarrow import fs
-
-        system, inner = fs.FileSystem.from_uri(dst if "://" in dst else f"file://{dst}")
+        system, inner = S.open_system(dst)
         system.create_dir(inner, recursive=True)
         made = f"{inner}/{r.name.removesuffix('.mp4')}.mp3"
         with system.open_output_stream(f"{made}.tmp") as f:

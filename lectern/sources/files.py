@@ -20,6 +20,18 @@ def _fs(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def open_system(path: str):
+    """Arrow's file system for a path or URI, and the path within it. Local paths are taken as they are, blanks and all."""
+    from pyarrow import fs
+
+    if "://" not in path or path.startswith("file:"):
+        return fs.LocalFileSystem(), os.path.abspath(path.removeprefix("file://").removeprefix("file:"))
+    scheme, _, rest = path.partition("://")
+    authority, _, inner = rest.partition("/")
+    system, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return system, f"{root.rstrip('/')}/{inner}"
+
+
 def require_directory(spark: SparkSession, path: str) -> None:
     place, fs = _fs(spark, path)
     if not fs.exists(place) or not fs.getFileStatus(place).isDirectory():
@@ -58,12 +70,10 @@ def read_files(listing: DataFrame) -> DataFrame:
     """``listing`` with ``content``; each file is opened once, in the tasks, through Arrow's file systems."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for batch in batches:
             out = []
             for path in batch["path"]:
-                system, inner = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+                system, inner = open_system(path)
                 with system.open_input_stream(inner) as f:
                     out.append(f.read())
             yield batch.assign(content=out)
@@ -97,9 +107,7 @@ def snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _write(path: str, body: str) -> None:
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path if "://" in path else "file://" + os.path.abspath(path))
+    system, inner = open_system(path)
     system.create_dir(os.path.dirname(inner), recursive=True)
     made = f"{inner}.{uuid.uuid4().hex}.tmp"
     with system.open_output_stream(made) as f:
