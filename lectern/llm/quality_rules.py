@@ -113,17 +113,17 @@ def estimates(rows: DataFrame) -> tuple[DataFrame, bool]:
             out.append([r.key, *q[:, 1], *_inverse(np.diag(np.square((q[:, 2] - q[:, 0]) / 1.349)))])
         return pd.DataFrame(out, columns=["key", *(f"m{i}" for i in range(P)), *(f"p{i}_{j}" for i, j in _PAIRS)])
 
-    quartiles = cut(quartiles)
+    quartiles = cut(quartiles, 1)
     few = quartiles.count() <= BROADCAST_GROUPS
-    params = cut(quartiles.mapInPandas(_map(start), _PARAMS))
+    params = cut(quartiles.mapInPandas(_map(start), _PARAMS), 1)
     for _ in range(STEPS):
         measured = _with(both, params, few).select("key", *_X, _distance().alias("d2"))
-        limits = cut(measured.groupBy("key").agg(F.percentile_approx("d2", COVERAGE, 2000).alias("limit")))
+        limits = cut(measured.groupBy("key").agg(F.percentile_approx("d2", COVERAGE, 2000).alias("limit")), 1)
         inside = _with(measured, limits, few).where(F.col("d2") <= F.col("limit"))
         sums = inside.groupBy("key").agg(F.count("*").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(_X)), *(F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"s{i}_{j}") for i, j in _PAIRS))
-        params = cut(sums.mapInPandas(_map(_estimate), _PARAMS))
+        params = cut(sums.mapInPandas(_map(_estimate), _PARAMS), 1)
     medians = _with(both, params, few).groupBy("key").agg(F.count("*").alias("n"), F.percentile_approx(_distance(), 0.5, 2000).alias("median"))
-    return cut(medians.join(params, "key")), few
+    return cut(medians.join(params, "key"), 1), few
 
 
 def apply_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
