@@ -20,48 +20,58 @@ DEPTH = 3
 LONG, SHORTEST, SHORT_ROWS = 12, 3, 10
 #: Parts of a line's tokens after the leading ones; lines of a leaf that differ within one part alone are of one template.
 PARTS = 4
+#: A document of which recurring lines are more than this share of the words is a copy as a whole: near-duplicate removal decides on it, not this operator.
+COPY_SHARE = 0.8
 _FIELD = re.compile(rb"\S*[0-9]\S*")
 
 
-def parse(line: bytes) -> tuple[int, int, list[int]] | None:
-    """(tokens, hash, keys) of a line: tokens with a digit are variable fields (<*>); each key leaves one part out. None below SHORTEST tokens."""
-    tokens = _FIELD.sub(b"<*>", line).split()
+def parse(line: bytes) -> tuple[int, int, list[int]] | int:
+    """(tokens, hash, keys) of a line: tokens with a digit are variable fields (<*>); each key leaves one part out. The number of tokens alone below SHORTEST."""
+    if len(line.translate(None, b"0123456789")) != len(line):
+        line = _FIELD.sub(b"<*>", line)
+    tokens = line.split()
     n = len(tokens)
     if n < SHORTEST:
-        return None
+        return n
     digest = lambda x: xxhash.xxh64_intdigest(x, n) - (1 << 63)
     whole = digest(b" ".join(tokens))
     if n < LONG:
         return n, whole, []
     rest = n - DEPTH
-    at = [DEPTH + rest * k // PARTS for k in range(PARTS + 1)]
-    return n, whole, [digest(b"%d \n%b\n%b" % (k, b" ".join(tokens[: at[k]]), b" ".join(tokens[at[k + 1] :]))) for k in range(PARTS)]
+    at = [0, *(DEPTH + rest * k // PARTS for k in range(PARTS + 1))]
+    parts = [xxhash.xxh64_digest(b" ".join(tokens[i:j])) for i, j in zip(at, at[1:], strict=False)]
+    return n, whole, [digest(b"%d" % k + b"".join(parts[: k + 1] + parts[k + 2 :])) for k in range(PARTS)]
 
 
 def parse_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """A row for each document and template in it: doc_id, h (hash of the text), t (template), n (tokens), keys, places (its lines)."""
+    """A row for each document and template in it: doc_id, h (hash of the text), words, t (template), n (tokens), keys, places (its lines)."""
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("__text"))
-    schema = StructType([source.schema["doc_id"], *StructType.fromDDL("h bigint, t bigint, n int, keys array<bigint>, places array<int>")])
+    schema = StructType([source.schema["doc_id"], *StructType.fromDDL("h bigint, words int, t bigint, n int, keys array<bigint>, places array<int>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
+            words: list[int] = []
             for i, body in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
                 own: dict[int, int] = {}
+                total, first = 0, len(rows[0])
                 for place, line in enumerate((body or b"").split(b"\n")):
                     parsed = parse(line)
-                    if parsed is None:
+                    if isinstance(parsed, int):
+                        total += parsed
                         continue
                     n, t, keys = parsed
+                    total += n
                     if t in own:
                         rows[4][own[t]].append(place)
                         continue
                     own[t] = len(rows[0])
                     for column, value in zip(rows, (i, t, n, keys, [place]), strict=True):
                         column.append(value)
+                words += [total] * (len(rows[0]) - first)
             at = pa.array(rows[0], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.list_(pa.int64())), pa.array(rows[4], pa.list_(pa.int32()))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(words, pa.int32()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.list_(pa.int64())), pa.array(rows[4], pa.list_(pa.int32()))], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -87,16 +97,18 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     The tree: a line goes by its token count and its first DEPTH tokens to a leaf; in a leaf, lines that differ in variable fields (tokens with a
     digit) or within one of PARTS parts of the other tokens are one template. A template recurs if two documents have it (under LONG tokens: if also
-    SHORT_ROWS rows have it). Its line in the first document by id stays, every other line of it goes; lines of under SHORTEST tokens always stay.
+    SHORT_ROWS rows have it). Its line in the first document by id stays, every other line of it goes; lines of under SHORTEST tokens always stay. A
+    document that would lose more than COPY_SHARE of its words stays whole: it is a copy, and near-duplicate removal keeps one of its kind.
 
-    Rows of equal id and text count as one document. A null text stays null, with no lines. A document left without lines keeps its row, with an empty
-    text. An empty table gives an empty one."""
+    Rows of equal id and text count as one document. A null text stays null, with no lines. An empty table gives an empty one."""
     docs = docs.drop("n_lines", "n_dropped")
     rows = cut(parse_lines(docs, doc_id, text))
     known = recurring(rows)
     own = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & F.col("h").eqNullSafe(F.col("kept.h"))
-    gone = rows.join(known, "t").select("doc_id", "h", F.explode(F.when(own, F.array_remove("places", F.col("kept.place"))).otherwise(F.col("places"))).alias("place"))
-    drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set("place").alias("__drops"))
+    gone = rows.join(known, "t").select("doc_id", "h", "words", "n", F.explode(F.when(own, F.array_remove("places", F.col("kept.place"))).otherwise(F.col("places"))).alias("place"))
+    drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set(F.struct("place", "n")).alias("__gone"), F.max("words").alias("__words"))
+    lost = F.aggregate("__gone", F.lit(0).cast("long"), lambda total, x: total + x["n"])
+    drops = drops.where(lost <= COPY_SHARE * F.col("__words")).select("__id", "__h", F.col("__gone.place").alias("__drops"))
     joined = docs.join(drops, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__h")), "left")
     kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains("__drops", i)), "\n")
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).cast("long")
