@@ -20,6 +20,8 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 _OUTSIDE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar menu nav navbar navigation breadcrumb breadcrumbs comment comments respond disqus share sharing social cookie cookies consent notice notices alert popup modal overlay footer masthead topbar related recommended subscribe newsletter signup login pagination pager widget toolbar".split()
 )
+_OUTSIDE_STARTS = ("commentlist", "commentform", "adsense", "adslot", "adbox", "adunit", "advert", "sponsor", "breadcrumb", "newsletter", "cookie")
+_HEADER = frozenset("site page main top global header".split())
 _ROLES = frozenset("navigation banner complementary contentinfo search alert dialog form menu menubar alertdialog".split())
 #: A start tag of the key closes an open element of the value.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -94,7 +96,7 @@ def extract(page: str | None) -> str:
         tags.append(name)
         parent.append(up)
         last.append(node)
-        dropped.append(dropped[up] or name in _DROP or _outside(name, attributes) or name == "header" and not any(tags[x] == "article" for x in stack))
+        dropped.append(dropped[up] or name in _DROP or _outside(name, attributes) or name == "header" and not any(tags[x] in ("article", "main") for x in stack))
         block.append(block[up] if name in _INLINE else node)
         linked.append(linked[up] or name == "a")
         stack.append(node)
@@ -106,8 +108,15 @@ def _outside(name: str, attributes: str) -> bool:
     if not attributes or name in ("html", "body", "article", "main") and "comment" not in attributes.lower():
         return False
     for key, value in _MARK.findall(attributes):
-        key, words = key.lower(), _WORD.findall(value.lower())
-        if key in ("class", "id") and not _OUTSIDE.isdisjoint(words) or key == "role" and not _ROLES.isdisjoint(words) or key == "hidden" or key == "style" and "display" in words and "none" in words:
+        key = key.lower()
+        names = value.lower().strip("\"'").split()
+        if key in ("class", "id"):
+            for words in (_WORD.findall(n) for n in names):
+                if words and words[0] in ("has", "with", "no"):
+                    continue
+                if not _OUTSIDE.isdisjoint(words) or any(w.startswith(_OUTSIDE_STARTS) for w in words) or "header" in words and _HEADER.issuperset(words):
+                    return True
+        elif key == "role" and not _ROLES.isdisjoint(names) or key == "hidden" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
     return False
 
