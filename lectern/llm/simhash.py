@@ -46,20 +46,34 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint")
     return map_column(docs.drop(out).withColumnRenamed(text, "__text"), "__text", f"`{out}` bigint", lambda batch: {out: [fingerprint(x) for x in batch]})
 
 
-def _rotl(x: Column, k: int) -> Column:
-    return x if k == 0 else F.shiftleft(x, k).bitwiseOR(F.shiftrightunsigned(x, 64 - k))
+def forms(bits: int) -> list[tuple[int, ...]]:
+    """For keys of 20, 24 or 32 bits: the segments, counted from a start, that two fingerprints have equal in one form at least.
 
+    With 4 bits to differ in, chains of 1 to 3 segments must be equal, so segments 0-2 are. A chain of 7 differs in one bit at most, so of segments 3-6
+    one half, and three of the four, are equal. A chain of 11 differs in two bits at most, so of segments 7-10 two at least are equal."""
+    if bits == 20:
+        return [(0, 1, 2, 3, 4), (0, 1, 2, 5, 6)]
+    three = [(0, 1, 2, *(x for x in range(3, 7) if x != out)) for out in range(3, 7)]
+    return three if bits == 24 else [(*first, i, j) for first in three for i in range(7, 11) for j in range(i + 1, 11)]
 
-def ring_keys(fp: Column) -> Column:
-    """The bucket keys of a fingerprint: from each of the 16 starts, chains of 1 to 3 segments must be equal and chains of up to 7 within one bit,
-    so that the first three segments and one half of the next four are equal. 32 keys of 20 bits, with the start and the half in front."""
+
+def key_bits(n: int) -> int:
+    """The key width for ``n`` distinct fingerprints. Every width finds every link; wider keys keep chance meetings in a bucket few."""
+    return 20 if n < 1 << 25 else 24 if n < 1 << 29 else 32
+
+
+def ring_keys(distinct: DataFrame, bits: int = 20) -> DataFrame:
+    """(fp, key): at each of the 16 starts, a key for each of forms(); its number stands in front of its bits."""
+    turned = F.expr("shiftleft(fp, 4 * start) | shiftrightunsigned(fp, 64 - 4 * start)")  # a shift by 64 is one by 0
     keys = []
-    for start in range(SEGMENTS):
-        top = F.shiftrightunsigned(_rotl(fp, 4 * start), 36)  # 28 bits: 12, 8, 8
-        keys.append(F.shiftrightunsigned(top, 8).bitwiseOR(F.lit((2 * start) << 40)))
-        exact = F.shiftleft(F.shiftrightunsigned(top, 16), 8)
-        keys.append(exact.bitwiseOR(top.bitwiseAND(F.lit(0xFF))).bitwiseOR(F.lit((2 * start + 1) << 40)))
-    return F.array(*keys)
+    for form in forms(bits):
+        key = F.lit(0).cast("long")
+        for segment in form:
+            key = F.shiftleft(key, 4).bitwiseOR(F.shiftrightunsigned("turned", 60 - 4 * segment).bitwiseAND(F.lit(15).cast("long")))
+        keys.append(key)
+    starts = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("start")).select("fp", "start", turned.alias("turned"))
+    made = starts.select("fp", "start", F.posexplode(F.array(*keys)).alias("form", "bits"))
+    return made.select("fp", F.shiftleft((F.col("start") * len(keys) + F.col("form")).cast("long"), bits).bitwiseOR(F.col("bits")).alias("key"))
 
 
 def pigeonring(xor: np.ndarray, start: int, distance: int = DISTANCE) -> np.ndarray:
@@ -104,9 +118,10 @@ def _forest(fps: np.ndarray, start: int) -> list[tuple[int, int]]:
     return out
 
 
-def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _links(batches: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
     """Rows sorted by key, a and b (the pair of blocks) come in; one bucket or pair of blocks is held at a time."""
     held: list[pd.DataFrame] = []
+    each = len(forms(bits))
 
     def run(g: pd.DataFrame) -> list[tuple[int, int]]:
         out: list[tuple[int, int]] = []
@@ -115,7 +130,7 @@ def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         edges = np.concatenate(([0], change, [len(g)]))
         for i in np.flatnonzero(np.diff(edges) > 1):
             lo, hi = edges[i], edges[i + 1]
-            start = int(key[lo] >> 41)
+            start = int(key[lo] >> bits) // each
             if hi - lo > 2 or int(fp[lo] ^ fp[lo + 1]).bit_count() <= DISTANCE:
                 out += _forest(fp[lo:hi], start)
         return out
@@ -137,13 +152,14 @@ def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["u", "v"])
 
 
-def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
+def links(distinct: DataFrame, block: int = BLOCK, bits: int | None = None) -> DataFrame:
     """Links (u, v) between the distinct fingerprints in column ``fp`` that join exactly what links within 4 bits join.
 
     A bucket of more than ``block`` fingerprints is dealt to tasks by pairs of its blocks, so no task holds more than two blocks."""
-    keyed = distinct.select("fp", F.explode(ring_keys(F.col("fp"))).alias("key"))
+    width = bits or key_bits(distinct.count())
+    keyed = ring_keys(distinct.select("fp"), width)
     large = keyed.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    large = cut(large)
+    large = cut(large, 1)
     if large.isEmpty():
         dealt = keyed.select("key", F.lit(0).alias("a"), F.lit(0).alias("b"), "fp")
     else:
@@ -154,7 +170,7 @@ def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
         dealt = keyed.join(large, "key", "left").select("key", "fp", F.explode(F.coalesce(pairs, alone)).alias("p")).select("key", "p.a", "p.b", "fp")
     dealt = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
     distinct.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    return dealt.mapInPandas(_links, "u bigint, v bigint").distinct()
+    return dealt.mapInPandas(lambda batches: _links(batches, width), "u bigint, v bigint").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
@@ -170,10 +186,10 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
             return joined.where("w > n").select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
         return joined.select(F.col("w").alias("u"), F.col("m").alias("v")).union(low.select(F.col("n").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
 
-    edges = cut(edges.where("u <> v"))
+    edges = cut(edges.where("u <> v"), 4)
     state = None
     for _ in range(rounds):
-        edges = cut(star(star(edges, True), False))
+        edges = cut(star(star(edges, True), False), 4)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -198,7 +214,7 @@ def group_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 def _roots(narrow: DataFrame, first: Column) -> DataFrame:
     """(fp, first, root) for each distinct fingerprint of ``narrow``."""
     nodes = cut(narrow.groupBy(F.col("fingerprint").alias("fp")).agg(first.alias("first")))
-    found = cut(components(links(nodes.select("fp"))))
+    found = cut(components(links(nodes.select("fp"))), 4)
     return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
