@@ -280,7 +280,7 @@ def assign(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     pieces = cut(pieces.withColumn("__h", F.xxhash64("doc_id", "piece", "start", "ids_crc32")))
     shares = max(1, pieces.count() // ROWS_A_SHARE)
     pieces = pieces.withColumn("__share", F.pmod("__h", F.lit(shares)).cast("int"))
-    sizes = cut(pieces.groupBy("length", "__share").agg(F.count("*").alias("__n")))
+    sizes = cut(pieces.groupBy("length", "__share").agg(F.count("*").alias("__n")), 4)
     counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("__n").alias("n")).collect()}
     table = layout(bin_completion(counts, limit))
     before = Window.partitionBy("length").orderBy("__share").rowsBetween(Window.unboundedPreceding, -1)
