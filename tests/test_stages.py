@@ -172,3 +172,18 @@ def test_stream(spark, tmp_path):
     put(tmp_path / "in", b="ещё one")
     run_available(spark, *paths).awaitTermination()
     assert sorted((r["name"], r["text"], r["words"]) for r in spark.read.parquet(paths[1]).collect()) == [("a.txt", "идём дальше", 2), ("b.txt", "ещё one", 2)]
+
+
+def test_shell(spark, tmp_path, capsys):
+    from lectern.cli import main
+
+    put(tmp_path / "in", a="ну слово", bad=b"\xff")
+    (tmp_path / "c.yaml").write_text(f"src: {tmp_path}/in\ndst: {tmp_path}/none\n")
+    assert main(["preprocess", f"config={tmp_path}/c.yaml", f"dst={tmp_path}/out"]) == 0
+    said = capsys.readouterr()
+    assert "failed: 1, succeeded: 1" in said.out and "bad.txt: not valid UTF-8" in said.err
+    assert main(["preprocess", f"src={tmp_path}/in", f"dst={tmp_path}/out", "strict=true"]) == 1
+    assert main(["preprocess", f"src={tmp_path}/nowhere"]) == 1 and main(["none"]) == 2
+    assert main(["summarize", f"src={tmp_path}/in"]) == 1
+    assert main(["summarize", f"src={tmp_path}/in", f"dst={tmp_path}/s", f"digest={tmp_path}/d", f"stats={tmp_path}/j", "provider=lectern.providers:Deterministic"]) == 0
+    assert main(["export", f"transcripts={tmp_path}/s", f"summaries={tmp_path}/s", f"digest={tmp_path}/d", f"dst={tmp_path}/md"]) == 0
