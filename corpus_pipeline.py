@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines of recurring templates; every document keeps its row, and n_chars follows its text."""
-    out = dedup_lines(docs).drop("n_lines", "n_dropped")
+    """Documents without lines and sentences of recurring templates; every document keeps its row, and n_chars follows its text."""
+    out = dedup_lines(docs).drop("n_lines", "n_dropped", "n_cut")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -1,4 +1,4 @@
-"""Line deduplication by a log-template tree: recurring templates across documents are dropped, but for their first line."""
+"""Line deduplication by a log-template tree: recurring templates across documents are dropped, but in one text of those that have them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,11 +20,36 @@ DEPTH = 3
 LONG, SHORTEST, SHORT_ROWS = 12, 3, 10
 #: Parts of a line's tokens after the leading ones; lines of a leaf that differ within one part alone are of one template.
 PARTS = 4
+#: Tokens from which a sentence within a line of several is a unit too: a passage can stand in lines that differ around it.
+SENTENCE = 8
+#: Recurring templates that are broadcast at most (16 bytes each); more meet the documents' lines in a shuffled join.
+BROADCAST_TEMPLATES = 500_000
 #: A document of which recurring lines are more than this share of the words is a copy as a whole: near-duplicate removal decides on it, not this operator.
 COPY_SHARE = 0.8
 _FIELD = re.compile(rb"\S*[0-9]\S*")
 
 
+_STOP = re.compile(rb"[.!?\xa6](?=[ \t\r\x0b\x0c])")
+#: The same places between sentences, for Java.
+_BETWEEN = "(?<=[.!?…])(?=[ \\t\\r\\x0B\\f])"
+#: A place is a line's number times 2 ** 20, plus a sentence's number from 1 for a sentence.
+_SHIFT = 20
+
+
+def sentences_of(line: bytes) -> list[bytes]:
+    """The pieces of a line between a full stop, question or exclamation mark or ellipsis and white space; each keeps the white space before it."""
+    ends = [m.end() for m in _STOP.finditer(line) if line[m.start()] != 0xA6 or line[m.start() - 2 : m.end()] == b"\xe2\x80\xa6"]
+    return [line[i:j] for i, j in zip([0, *ends], [*ends, len(line)], strict=True)] if ends else [line]
+
+
+def sentence_hash(sentence: bytes) -> tuple[int, int] | None:
+    """(tokens, hash); None below SENTENCE tokens."""
+    if len(sentence.translate(None, b"0123456789")) != len(sentence):
+        sentence = _FIELD.sub(b"<*>", sentence)
+    tokens = sentence.split()
+    return (len(tokens), xxhash.xxh64_intdigest(b" ".join(tokens), len(tokens)) - (1 << 63)) if len(tokens) >= SENTENCE else None
+
+
 def parse(line: bytes) -> tuple[int, int, list[int]] | int:
     """(tokens, hash, keys) of a line: tokens with a digit are variable fields (<*>); each key leaves one part out. The number of tokens alone below SHORTEST."""
     if len(line.translate(None, b"0123456789")) != len(line):
@@ -43,74 +68,119 @@ def parse(line: bytes) -> tuple[int, int, list[int]] | int:
     return n, whole, [digest(b"%d" % k + b"".join(parts[: k + 1] + parts[k + 2 :])) for k in range(PARTS)]
 
 
+_LINE = "struct<t:bigint,n:int,place:bigint,k0:bigint,k1:bigint,k2:bigint,k3:bigint>"
+_SENTENCE = "struct<t:bigint,n:int,place:bigint>"
+
+
 def parse_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """A row for each document and template in it: doc_id, h (hash of the text), words, t (template), n (tokens), keys, places (its lines)."""
+    """doc_id, h (hash of the text), words, lines and sentences: t (template), n (tokens; negative if the document has had t before), place, and for
+    lines the keys k0 to k3 (null for short ones). A row for each document, as arrays take a third of the room of rows."""
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("__text"))
-    schema = StructType([source.schema["doc_id"], *StructType.fromDDL("h bigint, words int, t bigint, n int, keys array<bigint>, places array<int>")])
+    schema = StructType([source.schema["doc_id"], *StructType.fromDDL(f"h bigint, words int, lines array<{_LINE}>, sentences array<{_SENTENCE}>")])
+
+    def nested(rows: list[tuple], offsets: list[int], names: tuple[str, ...]) -> pa.Array:
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+        kinds = {"n": pa.int32()}
+        values = [pa.array(c, kinds.get(n, pa.int64())) for c, n in zip(columns, names, strict=True)]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(values, list(names)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
-            words: list[int] = []
-            for i, body in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
-                own: dict[int, int] = {}
-                total, first = 0, len(rows[0])
-                for place, line in enumerate((body or b"").split(b"\n")):
+            lines: list[tuple] = []
+            pieces: list[tuple] = []
+            words, line_at, piece_at = [], [0], [0]
+            for body in batch.column(2).cast(pa.binary()).to_pylist():
+                seen: set[int] = set()
+                had: set[int] = set()
+                total = 0
+                for number, line in enumerate((body or b"").split(b"\n")):
                     parsed = parse(line)
                     if isinstance(parsed, int):
                         total += parsed
                         continue
                     n, t, keys = parsed
                     total += n
-                    if t in own:
-                        rows[4][own[t]].append(place)
-                        continue
-                    own[t] = len(rows[0])
-                    for column, value in zip(rows, (i, t, n, keys, [place]), strict=True):
-                        column.append(value)
-                words += [total] * (len(rows[0]) - first)
-            at = pa.array(rows[0], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(words, pa.int32()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.list_(pa.int64())), pa.array(rows[4], pa.list_(pa.int32()))], names=schema.names)
+                    lines.append((t, -n if t in seen else n, number << _SHIFT, *(keys or (None,) * PARTS)))
+                    seen.add(t)
+                    if n > SENTENCE and len(own := sentences_of(line)) > 1:
+                        for k, piece in enumerate(own, 1):
+                            if len(piece) > 2 * SENTENCE - 2 and (found := sentence_hash(piece)):
+                                pieces.append((found[1], -found[0] if found[1] in had else found[0], (number << _SHIFT) + k))
+                                had.add(found[1])
+                words.append(total)
+                line_at.append(len(lines))
+                piece_at.append(len(pieces))
+            columns = [batch.column(0), batch.column(1), pa.array(words, pa.int32()), nested(lines, line_at, ("t", "n", "place", "k0", "k1", "k2", "k3")), nested(pieces, piece_at, ("t", "n", "place"))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(run, schema)
 
 
-def recurring(rows: DataFrame) -> DataFrame:
-    """(t, kept): templates that recur across documents and the place (doc_id, h, place) of the one line of each that stays.
+def _spread() -> list[Column]:
+    """Numbers alone, so that these sums are hash aggregates: a template recurs if two texts have it; it stays in the text of the smallest hash."""
+    return [F.count_if(F.col("n") > 0).alias("rows"), F.max("n").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")]
+
+
+def recurring_lines(rows: DataFrame) -> DataFrame:
+    """(t, kept): line templates that recur across documents, and the smallest hash of a text that has one.
 
     Equal lines are one row after a map-side combined count. Distinct lines meet by key in minima, not in pairs, and the links make components."""
-    place = F.struct("doc_id", "h", F.col("places")[0].alias("place"))
-    lines = cut(rows.groupBy("t").agg(F.count("*").alias("rows"), F.max("n").alias("n"), F.max("keys").alias("keys"), F.min(place).alias("first"), F.max(F.struct("doc_id", "h")).alias("last")))
-    keyed = lines.select("t", F.explode("keys").alias("key"))
+    lines = cut(rows.groupBy("t").agg(*_spread(), *(F.max(f"k{k}").alias(f"k{k}") for k in range(PARTS))))
+    keyed = lines.where("k0 IS NOT NULL").select("t", F.explode(F.array(*(f"k{k}" for k in range(PARTS)))).alias("key"))
     groups = keyed.groupBy("key").agg(F.min("t").alias("m"), F.max("t").alias("x")).where("m <> x").select("key", "m")
     links = keyed.join(groups, "key").where("t <> m").select(F.col("t").alias("u"), F.col("m").alias("v")).distinct()
     of = components(links)
     lines = lines.join(of.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
-    total = lines.groupBy("root").agg(F.sum("rows").alias("rows"), F.max("n").alias("n"), F.min("first").alias("kept"), F.max("last").alias("last"))
-    often = total.where(~(F.col("last.doc_id").eqNullSafe(F.col("kept.doc_id")) & F.col("last.h").eqNullSafe(F.col("kept.h"))) & ((F.col("n") >= LONG) | (F.col("rows") >= SHORT_ROWS)))
-    return lines.join(often.select("root", "kept"), "root").select("t", "kept")
+    total = lines.groupBy("root").agg(F.sum("rows").alias("rows"), F.max("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    often = total.where((F.col("low") != F.col("high")) & ((F.col("n") >= LONG) | (F.col("rows") >= SHORT_ROWS)))
+    return lines.select("t", "root").join(often.select("root", F.col("low").alias("kept")), "root").select("t", "kept")
+
+
+def recurring_sentences(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("t").agg(*_spread()).where("low <> high").select("t", F.col("low").alias("kept"))
+
+
+def _gone(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, h, words, place, n) of what is dropped: of a recurring template, all but what the kept text has first."""
+    known = cut(known, 4)
+    known = F.broadcast(known) if known.count() <= BROADCAST_TEMPLATES else known
+    return rows.join(known, "t").where((F.col("h") != F.col("kept")) | (F.col("n") < 0)).select("doc_id", "h", "words", "place", F.abs("n").alias("n"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the lines of recurring templates taken out of ``text``, and n_lines and n_dropped added (columns of these names are replaced).
+    """``docs`` with the lines of recurring templates taken out of ``text``, and n_lines, n_dropped (lines) and n_cut (sentences) added (columns of these
+    names are replaced).
 
     The tree: a line goes by its token count and its first DEPTH tokens to a leaf; in a leaf, lines that differ in variable fields (tokens with a
-    digit) or within one of PARTS parts of the other tokens are one template. A template recurs if two documents have it (under LONG tokens: if also
-    SHORT_ROWS rows have it). Its line in the first document by id stays, every other line of it goes; lines of under SHORTEST tokens always stay. A
-    document that would lose more than COPY_SHARE of its words stays whole: it is a copy, and near-duplicate removal keeps one of its kind.
-
-    Rows of equal id and text count as one document. A null text stays null, with no lines. An empty table gives an empty one."""
-    docs = docs.drop("n_lines", "n_dropped")
-    rows = cut(parse_lines(docs, doc_id, text))
-    known = recurring(rows)
-    own = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & F.col("h").eqNullSafe(F.col("kept.h"))
-    gone = rows.join(known, "t").select("doc_id", "h", "words", "n", F.explode(F.when(own, F.array_remove("places", F.col("kept.place"))).otherwise(F.col("places"))).alias("place"))
+    digit) or within one of PARTS parts of the other tokens are one template. A template recurs if documents of two different texts have it (under
+    LONG tokens: if also SHORT_ROWS rows have it); lines of under SHORTEST tokens always stay. Of a line that stays, sentences of SENTENCE or more
+    tokens go if they recur, equal but for variable fields, within other lines. A recurring template stays once in the text of the smallest hash
+    that has it. A document that would lose more than COPY_SHARE of its words stays whole: it is a copy, and near-duplicate removal keeps one of its kind.
+
+    Documents of equal text count as one and lose the same. A null text stays null, with no lines. An empty table gives an empty one."""
+    docs = docs.drop("n_lines", "n_dropped", "n_cut")
+    parsed = cut(parse_lines(docs, doc_id, text))
+    lines = parsed.select("doc_id", "h", "words", F.inline("lines"))
+    pieces = parsed.select("doc_id", "h", "words", F.inline("sentences"))
+    gone = _gone(lines.drop("k0", "k1", "k2", "k3"), recurring_lines(lines.drop("words"))).unionByName(_gone(pieces, recurring_sentences(pieces.drop("words"))))
     drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set(F.struct("place", "n")).alias("__gone"), F.max("words").alias("__words"))
-    lost = F.aggregate("__gone", F.lit(0).cast("long"), lambda total, x: total + x["n"])
-    drops = drops.where(lost <= COPY_SHARE * F.col("__words")).select("__id", "__h", F.col("__gone.place").alias("__drops"))
+    whole = F.transform(F.filter("__gone", lambda x: x["place"] % (1 << _SHIFT) == 0), lambda x: x["place"])
+    drops = drops.withColumn("__lines", whole).withColumn("__cuts", F.filter("__gone", lambda x: (x["place"] % (1 << _SHIFT) > 0) & ~F.array_contains("__lines", x["place"] - x["place"] % (1 << _SHIFT))))
+    count = lambda of: F.aggregate(of, F.lit(0).cast("long"), lambda total, x: total + x["n"])
+    lost = count(F.filter("__gone", lambda x: x["place"] % (1 << _SHIFT) == 0)) + count("__cuts")
+    drops = drops.where(lost <= COPY_SHARE * F.col("__words")).select("__id", "__h", "__lines", F.col("__cuts.place").alias("__cuts"))
     joined = docs.join(drops, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__h")), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains("__drops", i)), "\n")
+    at = lambda i: F.shiftleft(i.cast("long"), _SHIFT)
+
+    def shorter(line: Column, i: Column) -> Column:
+        cuts = F.filter("__cuts", lambda c: c - c % (1 << _SHIFT) == at(i))
+        kept = F.array_join(F.filter(F.split(line, _BETWEEN, -1), lambda x, k: ~F.array_contains(cuts, at(i) + k + 1)), "")
+        return F.struct(i.alias("i"), F.when(F.size(cuts) > 0, kept).otherwise(line).alias("x"))
+
+    left = F.filter(F.transform(F.split(F.col(text), "\n", -1), shorter), lambda s: ~F.array_contains("__lines", at(s["i"])))
+    kept = F.array_join(F.transform(left, lambda s: s["x"]), "\n")
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).cast("long")
-    out = joined.withColumns({"n_lines": n_lines, "n_dropped": F.coalesce(F.size("__drops"), F.lit(0)).cast("long"), text: F.when(F.col("__drops").isNull(), F.col(text)).otherwise(kept)})
-    return out.select(*docs.columns, "n_lines", F.greatest("n_dropped", F.lit(0)).alias("n_dropped"))
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
+    out = joined.withColumns({"n_lines": n_lines, "n_dropped": size("__lines"), "n_cut": size("__cuts"), text: F.when(F.col("__lines").isNull(), F.col(text)).otherwise(kept)})
+    return out.select(*docs.columns, "n_lines", "n_dropped", "n_cut")

@@ -8,7 +8,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -303,7 +302,6 @@ def assign(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
             keep = [i for i, n in enumerate(batch.schema.names) if n != "__rank"]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + [pa.array(sequence), pa.array(offset)], names=[batch.schema.names[i] for i in keep] + ["sequence_id", "offset"])
 
-    ranked.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     return ranked.mapInArrow(place, StructType([*(ranked.schema[c] for c in columns), StructField("sequence_id", LongType()), StructField("offset", LongType())]))
 
 

@@ -34,7 +34,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "n_cut", "text")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -11,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, map_column
+from lectern.llm.common import cut, map_column, narrow_batches
 
 SHINGLE, BITS, SEED, DISTANCE = 4, 64, 42, 4
 #: A ring of 16 segments of 4 bits. Of two fingerprints within 4 bits, some start has every chain of l segments within l * 4 / 16 bits.
@@ -169,7 +168,6 @@ def links(distinct: DataFrame, block: int = BLOCK, bits: int | None = None) -> D
         alone = F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))
         dealt = keyed.join(large, "key", "left").select("key", "fp", F.explode(F.coalesce(pairs, alone)).alias("p")).select("key", "p.a", "p.b", "fp")
     dealt = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
-    distinct.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
     return dealt.mapInPandas(lambda batches: _links(batches, width), "u bigint, v bigint").distinct()
 
 
@@ -214,7 +212,8 @@ def group_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "
 def _roots(narrow: DataFrame, first: Column) -> DataFrame:
     """(fp, first, root) for each distinct fingerprint of ``narrow``."""
     nodes = cut(narrow.groupBy(F.col("fingerprint").alias("fp")).agg(first.alias("first")))
-    found = cut(components(links(nodes.select("fp"))), 4)
+    with narrow_batches(narrow.sparkSession):
+        found = cut(components(links(nodes.select("fp"))), 4)
     return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
