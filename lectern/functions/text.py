@@ -38,6 +38,7 @@ def _any(terms: tuple[str, ...]) -> str:
     return "(?:" + "|".join(terms) + ")"
 
 
+# Fixed patterns: subtitle credits, prompt echoes and vocabulary lists of the transcript corpus.
 #: Case-insensitive with Unicode case and Unicode word boundaries.
 _FOLD = "(?iuU)"
 CREDITS = _java(r"[Рр]едактор субтитров\s+\S+\s+[Кк]орректор\s+\S+\.?|[Сс]убтитры\s+\S+\s+DimaTorzok\.?")

@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import casefold, fold_marks, normalize_evidence, strip, topic_id
+from lectern.functions.text import casefold, normalize_evidence, strip, topic_id
 
 ROLES = ("primary", "secondary")
 UNMATCHED = "_unmatched"
@@ -124,4 +124,4 @@ def plain_evidence(text: str) -> str:
     return " ".join(unicodedata.normalize("NFC", text).translate(marks).split())
 
 
-__all__ = ["assignment_violations", "check_assignment", "check_topics", "fold_marks", "lookup_evidence", "plain_evidence", "topic_names", "topic_violations"]
+__all__ = ["assignment_violations", "check_assignment", "check_topics", "lookup_evidence", "plain_evidence", "topic_names", "topic_violations"]
