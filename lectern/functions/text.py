@@ -55,11 +55,22 @@ def strip(x: Column) -> Column:
     return F.regexp_replace(x, rf"(?s)\A{SPACE}+|{SPACE}+\z", "")
 
 
-def replace_if(x: Column, pattern: str, condition: Callable[[Column], Column], by: str = " ") -> Column:
-    """Matches of ``pattern`` that meet ``condition`` become ``by``: gaps and matches are zipped, as a match alone cannot call a function."""
-    gaps = F.split(x, pattern, -1)
-    matches = F.transform(F.regexp_extract_all(x, F.lit(pattern), F.lit(0)), lambda m: F.when(condition(m), F.lit(by)).otherwise(m))
-    return F.when(x.rlike(pattern), F.array_join(F.zip_with(gaps, F.concat(matches, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")).otherwise(x)
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``x``, with ``x`` computed once however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def replace_if(x: Column, pattern: str, condition: Callable[[Column], Column], needs: str, by: str = " ") -> Column:
+    """Matches of ``pattern`` that meet ``condition`` become ``by``: gaps and matches are zipped, as a match alone cannot call a function.
+
+    ``needs``: a plain pattern that every text with such a match has; texts without it are passed through."""
+
+    def change(t: Column) -> Column:
+        gaps = F.split(t, pattern, -1)
+        matches = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda m: F.when(condition(m), F.lit(by)).otherwise(m))
+        return F.when(t.rlike(needs), F.array_join(F.zip_with(gaps, F.concat(matches, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")).otherwise(t)
+
+    return let(x, change)
 
 
 def strip_credits(x: Column) -> Column:
@@ -68,7 +79,7 @@ def strip_credits(x: Column) -> Column:
 
 def strip_prompt_echo(x: Column) -> Column:
     """Runs of three or more prompt terms that hold an anchor."""
-    return replace_if(x, ECHO, lambda m: m.rlike(ANCHOR))
+    return replace_if(x, ECHO, lambda m: m.rlike(ANCHOR), ANCHOR)
 
 
 def is_vocabulary_list(span: Column) -> Column:
@@ -78,7 +89,7 @@ def is_vocabulary_list(span: Column) -> Column:
 
 
 def strip_vocabulary_list(x: Column) -> Column:
-    return replace_if(x, VOCABULARY_LIST, is_vocabulary_list)
+    return replace_if(x, VOCABULARY_LIST, is_vocabulary_list, _FOLD + _any(LIST_HEADS))
 
 
 def keep_alphabet(x: Column) -> Column:
@@ -121,8 +132,12 @@ def sentences(x: Column) -> Column:
 
 def paragraphs(found: Column, size: int) -> Column:
     """Groups of ``size`` sentences, joined by spaces, between blank lines; no sentences: an empty text."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1)), F.lit(size))
-    return F.array_join(F.transform(starts, lambda i: F.array_join(F.slice(found, i, size), " ")), "\n\n")
+
+    def grouped(s: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(s), F.lit(1)), F.lit(size))
+        return F.array_join(F.transform(starts, lambda i: F.array_join(F.slice(s, i, size), " ")), "\n\n")
+
+    return let(found, grouped)
 
 
 def titled(title: Column, section: str, body: Column) -> Column:

@@ -38,7 +38,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text")))
+    """The columns asked for. Fewer parts than cores (one small file) are dealt anew; a large table is read as it lies."""
+    docs = _table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text")))
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if "text" in docs.columns and docs.rdd.getNumPartitions() < cores else docs
 
 
 def _quoted(s: str) -> str:
