@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lectern.llm import packing
 from lectern.llm.common import shared_dir, table
 from lectern.llm.decontaminate import drop_contaminated
-from lectern.llm.line_dedup import dedup_lines
+from lectern.llm.line_dedup import dedup_passages
 from lectern.llm.quality_classifier import filter_quality, remainder
 from lectern.llm.simhash import keep_one_of_each_group
 
@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines and sentences of recurring templates; every document keeps its row, and n_chars follows its text."""
-    out = dedup_lines(docs).drop("n_lines", "n_dropped", "n_cut")
+    out = dedup_passages(docs).drop("n_lines", "n_dropped", "n_cut")
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lectern.llm.common import bounded_batches, cut
+from lectern.llm.common import _arrow, bounded_batches, cut
 from lectern.llm.simhash import components
 
 #: Leading tokens that, after the token count, lead to a leaf of the tree.
@@ -26,8 +27,11 @@ SENTENCE = 8
 BROADCAST_TEMPLATES = 500_000
 #: A document of which recurring lines are more than this share of the words is a copy as a whole: near-duplicate removal decides on it, not this operator.
 COPY_SHARE = 0.8
+#: Of the tokens within a sentence, one in PIECE (by a checksum) ends a piece, so that equal words have equal pieces whatever stands around them.
+PIECE = 16
 _FIELD = re.compile(rb"\S*[0-9]\S*")
-
+_TOKEN = re.compile(rb"\S+")
+_ENDS = (b".", b"!", b"?", b"\xe2\x80\xa6")
 
 _STOP = re.compile(rb"[.!?\xa6](?=[ \t\r\x0b\x0c])")
 #: The same places between sentences, for Java.
@@ -54,7 +58,10 @@ def parse(line: bytes) -> tuple[int, int, list[int]] | int:
     """(tokens, hash, keys) of a line: tokens with a digit are variable fields (<*>); each key leaves one part out. The number of tokens alone below SHORTEST."""
     if len(line.translate(None, b"0123456789")) != len(line):
         line = _FIELD.sub(b"<*>", line)
-    tokens = line.split()
+    return parse_tokens(line.split())
+
+
+def parse_tokens(tokens: list[bytes]) -> tuple[int, int, list[int]] | int:
     n = len(tokens)
     if n < SHORTEST:
         return n
@@ -72,6 +79,12 @@ _LINE = "struct<t:bigint,n:int,place:bigint,k0:bigint,k1:bigint,k2:bigint,k3:big
 _SENTENCE = "struct<t:bigint,n:int,place:bigint>"
 
 
+def _nested(rows: list[tuple], offsets: list[int], names: tuple[str, ...]) -> pa.Array:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    values = [pa.array(c, pa.int32() if n == "n" else pa.int64()) for c, n in zip(columns, names, strict=True)]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(values, list(names)))
+
+
 def parse_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, h (hash of the text), words, lines and sentences: t (template), n (tokens; negative if the document has had t before), place, and for
     lines the keys k0 to k3 (null for short ones). A row for each document, as arrays take a third of the room of rows."""
@@ -79,12 +92,6 @@ def parse_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("__text"))
     schema = StructType([source.schema["doc_id"], *StructType.fromDDL(f"h bigint, words int, lines array<{_LINE}>, sentences array<{_SENTENCE}>")])
 
-    def nested(rows: list[tuple], offsets: list[int], names: tuple[str, ...]) -> pa.Array:
-        columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-        kinds = {"n": pa.int32()}
-        values = [pa.array(c, kinds.get(n, pa.int64())) for c, n in zip(columns, names, strict=True)]
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(values, list(names)))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lines: list[tuple] = []
@@ -111,7 +118,7 @@ def parse_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 words.append(total)
                 line_at.append(len(lines))
                 piece_at.append(len(pieces))
-            columns = [batch.column(0), batch.column(1), pa.array(words, pa.int32()), nested(lines, line_at, ("t", "n", "place", "k0", "k1", "k2", "k3")), nested(pieces, piece_at, ("t", "n", "place"))]
+            columns = [batch.column(0), batch.column(1), pa.array(words, pa.int32()), _nested(lines, line_at, ("t", "n", "place", "k0", "k1", "k2", "k3")), _nested(pieces, piece_at, ("t", "n", "place"))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(run, schema)
@@ -184,3 +191,141 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
     out = joined.withColumns({"n_lines": n_lines, "n_dropped": size("__lines"), "n_cut": size("__cuts"), text: F.when(F.col("__lines").isNull(), F.col(text)).otherwise(kept)})
     return out.select(*docs.columns, "n_lines", "n_dropped", "n_cut")
+
+
+def units_of(body: bytes) -> tuple[list[tuple], list[tuple]]:
+    """(lines, units) of a text; places are the numbers of first tokens. Units are sentences of SENTENCE to LONG - 1 tokens (n negative if the text has had
+    one before) and runs of pieces: from each piece on, and back from each piece, the shortest run of LONG or more tokens, across lines. So every piece of a
+    passage of LONG or more tokens in whole pieces is in a run within it. Sentences, lines and tokens that PIECE picks end a piece."""
+    lines: list[tuple] = []
+    units: list[tuple] = []
+    tokens: list[bytes] = []
+    edges, seen, had = [0], set(), set()
+    for line in body.split(b"\n"):
+        raw = own = line.split()
+        if not raw:
+            continue
+        if len(line.translate(None, b"0123456789")) != len(line):
+            own = _FIELD.sub(b"<*>", line).split()
+        at, parsed = len(tokens), parse_tokens(own)
+        if not isinstance(parsed, int):
+            n, t, keys = parsed
+            lines.append((t, -n if t in seen else n, at, *(keys or (None,) * PARTS)))
+            seen.add(t)
+        tokens += own
+        first, last = 0, len(raw) - 1
+        for k, x in enumerate(raw):
+            if k == last or x.endswith(_ENDS):
+                edges.append(at + k + 1)
+                n = k + 1 - first
+                if SENTENCE <= n < LONG:
+                    t = xxhash.xxh64_intdigest(b" ".join(own[first : k + 1]), n) - (1 << 63)
+                    units.append((t, -n if t in had else n, at + first))
+                    had.add(t)
+                first = k + 1
+            elif crc32(own[k]) % PIECE == 0:
+                edges.append(at + k + 1)
+    spans, i, j = set(), 0, 0
+    for i, a in enumerate(edges):
+        while j < len(edges) and edges[j] - a < LONG:
+            j += 1
+        if j == len(edges):
+            break
+        spans.add((a, edges[j]))
+    i = 0
+    for b in edges:
+        if b >= LONG:
+            while b - edges[i + 1] >= LONG:
+                i += 1
+            spans.add((edges[i], b))
+    units += [(xxhash.xxh64_intdigest(b" ".join(tokens[a:b]), b - a) - (1 << 63), b - a, a) for a, b in spans]
+    return lines, units
+
+
+def parse_passages(docs: DataFrame) -> DataFrame:
+    """doc_id, h, lines and units of (doc_id, h, __text); a row for each document."""
+    bounded_batches(docs.sparkSession)
+    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(f"h bigint, lines array<{_LINE}>, units array<{_SENTENCE}>")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, units, line_at, unit_at = [], [], [0], [0]
+            for body in batch.column(2).cast(pa.binary()).to_pylist():
+                own, other = units_of(body or b"")
+                lines += own
+                units += other
+                line_at.append(len(lines))
+                unit_at.append(len(units))
+            columns = [batch.column(0), batch.column(1), _nested(lines, line_at, ("t", "n", "place", "k0", "k1", "k2", "k3")), _nested(units, unit_at, ("t", "n", "place"))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.select("doc_id", "h", "__text").mapInArrow(run, schema)
+
+
+def without(body: bytes, gone: list[tuple[int, int]]) -> tuple[bytes, int, int]:
+    """(text, lines dropped, cuts within lines): the text without the tokens of ``gone`` (first, number), each with the white space before it."""
+    flags = bytearray(len(body) // 2 + 1)
+    for at, n in gone:
+        n = min(n, len(flags) - at)
+        flags[at : at + n] = b"\1" * n
+    out, at, dropped, cuts = [], 0, 0, 0
+    for line in body.split(b"\n"):
+        spans = [m.span() for m in _TOKEN.finditer(line)]
+        own = flags[at : at + len(spans)]
+        at += len(spans)
+        if 1 not in own:
+            out.append(line)
+        elif 0 not in own:
+            dropped += 1
+        else:
+            kept, end = [], 0
+            for k, (_, b) in enumerate(spans):
+                if own[k]:
+                    cuts += k == 0 or not own[k - 1]
+                else:
+                    kept.append(line[end:b])
+                end = b
+            out.append(b"".join(kept) + line[end:])
+    return b"\n".join(out), dropped, cuts
+
+
+def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with every recurring passage left in one document alone, and n_lines, n_dropped (lines) and n_cut (cuts within lines) added (columns of
+    these names are replaced).
+
+    Line templates are those of dedup_lines(); units_of() gives the other units. Documents are told apart by id and text, so exact copies are documents too,
+    and no document is exempt: a unit of two documents (lines under LONG tokens: of SHORT_ROWS) stays in the one of the smallest hash of id and text. Rows of
+    equal id and text are one document. Copies of a text of LONG or more tokens lose all of it without a look at its units. A null text stays null, with
+    no lines. An empty table gives an empty one."""
+    docs = docs.drop("n_lines", "n_dropped", "n_cut")
+    key = F.xxhash64(F.col(doc_id), F.col(text))
+    source = docs.select(F.col(doc_id).alias("doc_id"), key.alias("h"), F.xxhash64(F.col(text)).alias("whole"), F.col(text).alias("__text"))
+    narrow = cut(source.where(F.col("__text").rlike(f"(?:\\S+\\s+){{{LONG - 1}}}\\S")).select("doc_id", "h", "whole"), 4)
+    texts = narrow.groupBy("whole").agg(F.min("h").alias("first"), F.max("h").alias("other")).where("first <> other")
+    copies = cut(narrow.join(texts, "whole").where("h <> first").select("doc_id", "h").distinct(), 4)
+    if copies.count() <= BROADCAST_TEMPLATES:
+        known = F.broadcast(copies.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")))
+        source = source.join(known, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left_anti")
+    parsed = cut(parse_passages(source))
+    lines = parsed.select("doc_id", "h", F.lit(0).alias("words"), F.inline("lines"))
+    units = parsed.select("doc_id", "h", F.lit(0).alias("words"), F.inline("units"))
+    gone = _gone(lines.drop("k0", "k1", "k2", "k3"), recurring_lines(lines.drop("words"))).unionByName(_gone(units, recurring_sentences(units.drop("words"))))
+    gone = gone.select("doc_id", "h", "place", "n").unionByName(copies.select("doc_id", "h", F.lit(0).cast("long").alias("place"), F.lit((1 << 31) - 1).alias("n")))
+    drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set(F.struct("place", "n")).alias("__gone"))
+    joined = docs.join(drops, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[doc_id], docs[text]) == F.col("__h")), "left")
+    schema = StructType([*docs.schema, *StructType.fromDDL("n_lines bigint, n_dropped bigint, n_cut bigint")])
+    at, size = docs.columns.index(text), len(docs.columns)
+    kind = _arrow(docs.schema[text].dataType.simpleString())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for body, places in zip(batch.column(at).cast(pa.binary()).to_pylist(), batch.column(size).to_pylist(), strict=True):
+                n_lines = 0 if body is None else body.count(b"\n") + 1
+                made.append((n_lines, *((body, 0, 0) if places is None else without(body, [(p["place"], p["n"]) for p in places]))))
+            counts, bodies, dropped, cuts = zip(*made, strict=True) if made else [()] * 4
+            arrays = [batch.column(k) for k in range(size)]
+            arrays[at] = pa.array(bodies, pa.binary()).cast(kind)
+            yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(x, pa.int64()) for x in (counts, dropped, cuts))], names=schema.names)
+
+    return joined.select(*docs.columns, "__gone").mapInArrow(run, schema)

@@ -13,7 +13,7 @@ from lectern.llm.chat_format import digest, format_windows
 from lectern.llm.decontaminate import decontaminate
 from lectern.llm.html_extract import extract_pages
 from lectern.llm.license_scan import scan_licenses
-from lectern.llm.line_dedup import dedup_lines
+from lectern.llm.line_dedup import dedup_passages
 from lectern.llm.quality_rules import apply_rules
 from lectern.llm.simhash import group_near_duplicates
 
@@ -34,7 +34,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "n_cut", "text")
+    return dedup_passages(docs).select("doc_id", "n_lines", "n_dropped", "n_cut", "text")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -483,3 +483,18 @@ def test_extraction_rows(spark):
     assert sorted((r.page_id, r.text) for r in got.collect()) == [(1, "x"), (1, "x"), (2, "")]
     assert html_extract.extract_pages(pages.limit(0)).count() == 0
     assert html_extract.extract("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
+
+
+# passages
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(n))
+
+
+def test_passages_stay_in_one_document_and_no_document_is_exempt(spark):
+    rng = random.Random(21)
+    passage = prose(rng, 60)
+    rows = [(i, f"{prose(rng, 5)}\n{passage}") for i in range(6)] + [(9, f"{prose(rng, 40)}\n{passage}")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_passages(docs(spark, *rows)).collect()}
+    assert sum(passage in t for t in got.values()) == 1 and all(t.split("\n")[0] == got[i].split("\n")[0] for i, t in rows)
