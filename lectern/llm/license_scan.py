@@ -1,4 +1,4 @@
-"""License notices by conditional compression: blocks are compressed with each template as a dictionary, winners confirmed by their wording."""
+"""License notices by conditional compression: spans of a template's size are compressed with it as a dictionary, winners confirmed by their wording."""
 
 from __future__ import annotations
 
@@ -42,7 +42,7 @@ _CUE = re.compile(CUES)
 _BREAK = re.compile(r"(?<=[.!?;:])\s+|\n+")
 _WORD = re.compile(r"[a-z0-9][a-z0-9.+-]*(?<![.-])")
 LEVEL = 19
-#: A template is looked at from this size reduction on, and confirmed if at most this share of its words is changed or missing.
+#: A span is of a template from this reduction of the span's size on, and confirmed if at most this share of its words is changed or missing.
 LEAST_REDUCTION, MOST_CHANGED = 0.08, 0.12
 #: Sentences without a cue that may stand within a block.
 GAP = 2
@@ -64,8 +64,13 @@ def blocks_of(text: str) -> Iterator[tuple[int, int, str]]:
         yield edges[first], edges[last + 1], text[edges[first] : edges[last + 1]]
 
 
+def lowered(text: str) -> str:
+    """Lower case, character by character, so that places stay."""
+    return "".join(x if len(x := c.lower()) == 1 else c for c in text) if not text.isascii() else text.lower()
+
+
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _WORD.findall(lowered(text))
 
 
 class Scanner:
@@ -74,31 +79,48 @@ class Scanner:
     def __init__(self, templates: dict[str, str]) -> None:
         options = {"level": LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.plain = zstandard.ZstdCompressor(**options)
-        self.known = []
-        for name, template in templates.items():
+        self.known, self.runs = [], {}
+        for k, (name, template) in enumerate(templates.items()):
             made = zstandard.ZstdCompressionDict(template.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             made.precompute_compress(level=LEVEL)
-            self.known.append((name, words(template), zstandard.ZstdCompressor(dict_data=made, **options)))
-
-    def reductions(self, block: str) -> list[tuple[float, str, list[str]]]:
-        """(reduction, name, words), largest first: the share of the block's compressed size that the template saves."""
-        raw = block.strip().encode()
-        size = len(self.plain.compress(raw))
-        return sorted(((1 - len(c.compress(raw)) / size, name, w) for name, w, c in self.known), key=lambda x: (-x[0], x[1]))
+            own = words(template)
+            most = int(MOST_CHANGED * len(own))
+            self.known.append((name, own, most, zstandard.ZstdCompressor(dict_data=made, **options)))
+            run = max(1, -(-(len(own) - most) // (2 * most + 1)))  # a confirmed wording has an unchanged run of so many words
+            for p in range(len(own) - run + 1):
+                self.runs.setdefault(run, {}).setdefault(tuple(own[p : p + run]), []).append((k, p))
+
+    def candidates(self, own: list[str]) -> Iterator[tuple[int, int]]:
+        """(template, first word that it would have), wherever a run of its words stands."""
+        found = set()
+        for run, known in self.runs.items():
+            for i in range(len(own) - run + 1):
+                found.update((k, i - p) for k, p in known.get(tuple(own[i : i + run]), ()))
+        return iter(sorted(found))
 
     def scan(self, text: str) -> list[tuple[int, int, str, float, int, bool]]:
-        """(start, end, license, reduction, changed words, exact) of each confirmed template, in order of place and rank."""
+        """(start, end, license, reduction, changed words, exact) of each confirmed notice, in order of block and bytes saved; reduction is the share of
+        the notice's compressed size that the template saves. A template has as many notices as stand in a block."""
         out = []
         for start, end, block in blocks_of(text):
-            own, taken = words(block), set()
-            for reduction, name, template in self.reductions(block):
-                if reduction < LEAST_REDUCTION:
-                    break
-                found = wording(own, template, taken)
-                if found is not None:
-                    changed, places = found
+            spots = [m.span() for m in _WORD.finditer(lowered(block))]
+            own, made = words(block), {}
+            for k, first in self.candidates(own):
+                name, template, most, compressor = self.known[k]
+                at = max(0, first - most)
+                found = wording(own[at : first + len(template) + most], template, set())
+                if found is None:
+                    continue
+                changed, places = found[0], frozenset(at + x for x in found[1])
+                if (name, places) not in made:
+                    raw = block[spots[min(places)][0] : spots[max(places)][1]].encode()
+                    size = len(self.plain.compress(raw))
+                    made[name, places] = size - len(compressor.compress(raw)), size, changed
+            taken: set[int] = set()
+            for (name, places), (saved, size, changed) in sorted(made.items(), key=lambda x: (-x[1][0], x[1][2], x[0][0], min(x[0][1]))):
+                if saved / size >= LEAST_REDUCTION and taken.isdisjoint(places):
                     taken |= places
-                    out.append((start, end, name, reduction, changed, changed == 0))
+                    out.append((start, end, name, saved / size, changed, changed == 0))
         return out
 
 

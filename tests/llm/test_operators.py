@@ -498,3 +498,14 @@ def test_passages_stay_in_one_document_and_no_document_is_exempt(spark):
     rows = [(i, f"{prose(rng, 5)}\n{passage}") for i in range(6)] + [(9, f"{prose(rng, 40)}\n{passage}")]
     got = {r.doc_id: r.text for r in line_dedup.dedup_passages(docs(spark, *rows)).collect()}
     assert sum(passage in t for t in got.values()) == 1 and all(t.split("\n")[0] == got[i].split("\n")[0] for i, t in rows)
+
+
+def test_short_notices_in_long_blocks_and_repeated_ones():
+    known = license_scan.TEMPLATES
+    names = lambda text: sorted(x[2] for x in license_scan.Scanner(known).scan(text))
+    assert names(f"Copyright (c) 2020 A. All rights reserved.\n{known['bsd-3-clause']}") == ["all-rights-reserved", "bsd-3-clause"]
+    assert names(f"{known['bsd-3-clause']}\n{known['mit-line']}") == ["bsd-3-clause", "mit-line"]
+    filler = " ".join(f"{chr(97 + k % 26)}{chr(97 + k * 7 % 26)}word" for k in range(100))
+    for name in ("mit-line", "bsd-line", "cc-by-line", "apache-2.0-line"):
+        assert names(f"{filler} {known[name]}") == [name]
+    assert names(f"{known['mit-line']} And so on. {known['mit-line']}\n{known['isc']}\n{known['isc']}") == ["isc", "isc", "mit-line", "mit-line"]
