@@ -500,6 +500,16 @@ def test_passages_stay_in_one_document_and_no_document_is_exempt(spark):
     assert sum(passage in t for t in got.values()) == 1 and all(t.split("\n")[0] == got[i].split("\n")[0] for i, t in rows)
 
 
+def test_a_passage_of_a_text_with_copies_stays_in_one_row(spark):
+    rng = random.Random(22)
+    passage, alone = prose(rng, 50), prose(rng, 40)
+    copied = f"{passage}\n{prose(rng, 30)}"
+    rows = [(i, copied) for i in range(6)] + [(10 + i, f"{prose(rng, 30)}\n{passage}") for i in range(3)] + [(20, alone), (21, alone)]
+    got = {r.doc_id: r for r in line_dedup.dedup_passages(docs(spark, *rows)).collect()}
+    assert len(got) == len(rows) and sum(passage in r.text for r in got.values()) == 1 == sum(alone in r.text for r in got.values())
+    assert got[20].n_dropped + got[21].n_dropped == 1
+
+
 def test_short_notices_in_long_blocks_and_repeated_ones():
     known = license_scan.TEMPLATES
     names = lambda text: sorted(x[2] for x in license_scan.Scanner(known).scan(text))
