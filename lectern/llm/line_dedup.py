@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -25,10 +26,13 @@ PARTS = 4
 SENTENCE = 8
 #: Recurring templates that are broadcast at most (16 bytes each); more meet the documents' lines in a shuffled join.
 BROADCAST_TEMPLATES = 500_000
+#: Documents whose recurring places are broadcast at most; more meet the texts in a shuffled join.
+BROADCAST_DOCS = 100_000
 #: A document of which recurring lines are more than this share of the words is a copy as a whole: near-duplicate removal decides on it, not this operator.
 COPY_SHARE = 0.8
-#: Of the tokens within a sentence, one in PIECE (by a checksum) ends a piece, so that equal words have equal pieces whatever stands around them.
-PIECE = 16
+#: The token of the least checksum among any REACH adjacent ones of a sentence ends a piece, so equal words have equal pieces but for REACH tokens at either
+#: end, and a passage of 2 * REACH + LONG tokens has a run of its own whatever stands around it.
+REACH = 15
 _FIELD = re.compile(rb"\S*[0-9]\S*")
 _TOKEN = re.compile(rb"\S+")
 _ENDS = (b".", b"!", b"?", b"\xe2\x80\xa6")
@@ -85,6 +89,17 @@ def _nested(rows: list[tuple], offsets: list[int], names: tuple[str, ...]) -> pa
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(values, list(names)))
 
 
+def _flat(rows: list[tuple], offsets: list[int]) -> list[pa.Array]:
+    """(t, n, place) as three arrays of numbers, a third of the room of structs."""
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 3
+    return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(c, kind)) for c, kind in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+
+
+def _units(parsed: DataFrame) -> DataFrame:
+    at = parsed.select("doc_id", "h", "ns", "places", F.posexplode("ts").alias("at", "t"))
+    return at.select("doc_id", "h", F.lit(0).alias("words"), "t", F.get("ns", F.col("at")).alias("n"), F.get("places", F.col("at")).cast("long").alias("place"))
+
+
 def parse_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, h (hash of the text), words, lines and sentences: t (template), n (tokens; negative if the document has had t before), place, and for
     lines the keys k0 to k3 (null for short ones). A row for each document, as arrays take a third of the room of rows."""
@@ -145,14 +160,23 @@ def recurring_lines(rows: DataFrame) -> DataFrame:
 
 
 def recurring_sentences(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("t").agg(*_spread()).where("low <> high").select("t", F.col("low").alias("kept"))
+    return rows.groupBy("t").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("t", F.col("low").alias("kept"))
 
 
-def _gone(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """(doc_id, h, words, place, n) of what is dropped: of a recurring template, all but what the kept text has first."""
+def _met(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of known templates, with kept."""
     known = cut(known, 4)
     known = F.broadcast(known) if known.count() <= BROADCAST_TEMPLATES else known
-    return rows.join(known, "t").where((F.col("h") != F.col("kept")) | (F.col("n") < 0)).select("doc_id", "h", "words", "place", F.abs("n").alias("n"))
+    return rows.join(known, "t")
+
+
+def _lost(rows: DataFrame) -> DataFrame:
+    """(doc_id, h, words, place, n) of what is dropped: of a recurring template, all but what the kept text has first."""
+    return rows.where((F.col("h") != F.col("kept")) | (F.col("n") < 0)).select("doc_id", "h", "words", "place", F.abs("n").alias("n"))
+
+
+def _gone(rows: DataFrame, known: DataFrame) -> DataFrame:
+    return _lost(_met(rows, known))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,14 +217,41 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return out.select(*docs.columns, "n_lines", "n_dropped", "n_cut")
 
 
+def picked(tokens: list[bytes]) -> list[int]:
+    """The places after tokens of the least checksum (the last of equal ones) among REACH adjacent ones."""
+    if len(tokens) < REACH:
+        return []
+    sums = np.fromiter(map(crc32, tokens), np.uint32, len(tokens))
+    windows = np.lib.stride_tricks.sliding_window_view(sums, REACH)[:, ::-1]
+    return np.unique(np.arange(REACH, len(tokens) + 1) - windows.argmin(1)).tolist()
+
+
+def runs_of(edges: list[int]) -> set[tuple[int, int]]:
+    """(first, end): from each edge on, and back from each edge, the shortest run of pieces with LONG or more tokens."""
+    spans, i, j = set(), 0, 0
+    for a in edges:
+        while j < len(edges) and edges[j] - a < LONG:
+            j += 1
+        if j == len(edges):
+            break
+        spans.add((a, edges[j]))
+    for b in edges:
+        if b >= LONG:
+            while b - edges[i + 1] >= LONG:
+                i += 1
+            spans.add((edges[i], b))
+    return spans
+
+
 def units_of(body: bytes) -> tuple[list[tuple], list[tuple]]:
     """(lines, units) of a text; places are the numbers of first tokens. Units are sentences of SENTENCE to LONG - 1 tokens (n negative if the text has had
     one before) and runs of pieces: from each piece on, and back from each piece, the shortest run of LONG or more tokens, across lines. So every piece of a
-    passage of LONG or more tokens in whole pieces is in a run within it. Sentences, lines and tokens that PIECE picks end a piece."""
+    passage of LONG or more tokens in whole pieces is in a run within it. Sentences, lines and picked() tokens end a piece; runs without
+    regard to lines are units too, as a passage can be wrapped in other ways."""
     lines: list[tuple] = []
     units: list[tuple] = []
     tokens: list[bytes] = []
-    edges, seen, had = [0], set(), set()
+    ends, stops, seen, had = [0], [0], set(), set()
     for line in body.split(b"\n"):
         raw = own = line.split()
         if not raw:
@@ -215,37 +266,38 @@ def units_of(body: bytes) -> tuple[list[tuple], list[tuple]]:
         tokens += own
         first, last = 0, len(raw) - 1
         for k, x in enumerate(raw):
-            if k == last or x.endswith(_ENDS):
-                edges.append(at + k + 1)
+            end = x.endswith(_ENDS)
+            if end or k == last:
+                ends.append(at + k + 1)
+                if end:
+                    stops.append(at + k + 1)
                 n = k + 1 - first
                 if SENTENCE <= n < LONG:
                     t = xxhash.xxh64_intdigest(b" ".join(own[first : k + 1]), n) - (1 << 63)
                     units.append((t, -n if t in had else n, at + first))
                     had.add(t)
                 first = k + 1
-            elif crc32(own[k]) % PIECE == 0:
-                edges.append(at + k + 1)
-    spans, i, j = set(), 0, 0
-    for i, a in enumerate(edges):
-        while j < len(edges) and edges[j] - a < LONG:
-            j += 1
-        if j == len(edges):
-            break
-        spans.add((a, edges[j]))
-    i = 0
-    for b in edges:
-        if b >= LONG:
-            while b - edges[i + 1] >= LONG:
-                i += 1
-            spans.add((edges[i], b))
+    own = [a + x for a, b in zip(stops, [*stops[1:], len(tokens)], strict=True) if b - a >= REACH for x in picked(tokens[a:b])]
+    spans = runs_of(sorted({*ends, *own})) | runs_of(sorted({*stops, *own}))
     units += [(xxhash.xxh64_intdigest(b" ".join(tokens[a:b]), b - a) - (1 << 63), b - a, a) for a, b in spans]
     return lines, units
 
 
+def border_units(body: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(t, n, place) of all runs of LONG tokens that reach up to REACH tokens over an end of a recurring span (first, number): as far as a passage can go on
+    without another run that recurs."""
+    tokens = _FIELD.sub(b"<*>", body).split()
+    starts: set[int] = set()
+    for a, n in spans:
+        starts.update(range(a + n - LONG + 1, a + n - LONG + 1 + REACH))
+        starts.update(range(max(0, a - REACH), a))
+    return [(xxhash.xxh64_intdigest(b" ".join(tokens[a : a + LONG]), LONG) - (1 << 63), LONG, a) for a in sorted(starts) if a + LONG <= len(tokens)]
+
+
 def parse_passages(docs: DataFrame) -> DataFrame:
     """doc_id, h, lines and units of (doc_id, h, __text); a row for each document."""
     bounded_batches(docs.sparkSession)
-    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(f"h bigint, lines array<{_LINE}>, units array<{_SENTENCE}>")])
+    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(f"h bigint, lines array<{_LINE}>, ts array<bigint>, ns array<int>, places array<int>")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,12 +308,27 @@ def parse_passages(docs: DataFrame) -> DataFrame:
                 units += other
                 line_at.append(len(lines))
                 unit_at.append(len(units))
-            columns = [batch.column(0), batch.column(1), _nested(lines, line_at, ("t", "n", "place", "k0", "k1", "k2", "k3")), _nested(units, unit_at, ("t", "n", "place"))]
+            columns = [batch.column(0), batch.column(1), _nested(lines, line_at, ("t", "n", "place", "k0", "k1", "k2", "k3")), *_flat(units, unit_at)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select("doc_id", "h", "__text").mapInArrow(run, schema)
 
 
+def parse_borders(docs: DataFrame) -> DataFrame:
+    """doc_id, h and border_units() of (doc_id, h, __text, spans)."""
+    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("h bigint, ts array<bigint>, ns array<int>, places array<int>")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            units, at = [], [0]
+            for body, spans in zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                units += border_units(body, [(x["place"], x["n"]) for x in spans])
+                at.append(len(units))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *_flat(units, at)], names=schema.names)
+
+    return docs.select("doc_id", "h", "__text", "spans").mapInArrow(run, schema)
+
+
 def without(body: bytes, gone: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     """(text, lines dropped, cuts within lines): the text without the tokens of ``gone`` (first, number), each with the white space before it."""
     flags = bytearray(len(body) // 2 + 1)
@@ -294,8 +361,9 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     these names are replaced).
 
     Line templates are those of dedup_lines(); units_of() gives the other units. Documents are told apart by id and text, so exact copies are documents too,
-    and no document is exempt: a unit of two documents (lines under LONG tokens: of SHORT_ROWS) stays in the one of the smallest hash of id and text. Rows of
-    equal id and text are one document. Copies of a text of LONG or more tokens lose all of it without a look at its units. A null text stays null, with
+    and no document is exempt: a unit of two documents (lines under LONG tokens: of SHORT_ROWS) stays in the one of the smallest hash of id and text.
+    Rows of equal id and text are one document. Where a passage ends within a piece, border_units() finds how far it goes.
+    Copies of a text of LONG or more tokens lose all of it without a look at its units. A null text stays null, with
     no lines. An empty table gives an empty one."""
     docs = docs.drop("n_lines", "n_dropped", "n_cut")
     key = F.xxhash64(F.col(doc_id), F.col(text))
@@ -308,8 +376,15 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         source = source.join(known, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left_anti")
     parsed = cut(parse_passages(source))
     lines = parsed.select("doc_id", "h", F.lit(0).alias("words"), F.inline("lines"))
-    units = parsed.select("doc_id", "h", F.lit(0).alias("words"), F.inline("units"))
-    gone = _gone(lines.drop("k0", "k1", "k2", "k3"), recurring_lines(lines.drop("words"))).unionByName(_gone(units, recurring_sentences(units.drop("words"))))
+    dropped = _gone(lines.drop("k0", "k1", "k2", "k3"), recurring_lines(lines.drop("words")))
+    found = cut(_met(_units(parsed), recurring_sentences(_units(parsed))), 4)
+    spans = cut(found.where(F.abs("n") >= LONG).groupBy("doc_id", "h").agg(F.collect_set(F.struct("place", F.abs("n").alias("n"))).alias("spans")), 4)
+    few = spans.count() <= BROADCAST_DOCS
+    spans = spans.withColumnsRenamed({"doc_id": "__id", "h": "__h"})
+    beside = source.join(F.broadcast(spans) if few else spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")))
+    borders = _units(cut(parse_borders(beside)))
+    gone = dropped.unionByName(_lost(found)).unionByName(_lost(_met(borders, recurring_sentences(borders))))
+    docs.sparkSession.sparkContext._jvm.System.gc()  # Spark deletes the shuffles of the counts when their plans are collected; the texts are shuffled next
     gone = gone.select("doc_id", "h", "place", "n").unionByName(copies.select("doc_id", "h", F.lit(0).cast("long").alias("place"), F.lit((1 << 31) - 1).alias("n")))
     drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set(F.struct("place", "n")).alias("__gone"))
     joined = docs.join(drops, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[doc_id], docs[text]) == F.col("__h")), "left")

@@ -510,6 +510,34 @@ def test_a_passage_of_a_text_with_copies_stays_in_one_row(spark):
     assert got[20].n_dropped + got[21].n_dropped == 1
 
 
+def test_a_passage_within_other_lines_goes_to_its_last_word(spark):
+    rng = random.Random(23)
+    mixed = f"{prose(rng, 14)}. {prose(rng, 4)}. {prose(rng, 3)}! {prose(rng, 20)}. {prose(rng, 5)}"
+    shared = [prose(rng, 54), mixed, prose(rng, 9) + " end.", prose(rng, 40)]
+    rows = []
+    for k, p in enumerate(shared[:3]):
+        dot = "." if k == 2 else ""
+        rows += [(10 * k + i, f"{prose(rng, 30)}{dot} {p} {prose(rng, 30)}") for i in range(3)]
+    rows += [(90, f"{prose(rng, 20)}\n{shared[3]}\n{prose(rng, 5)}"), (91, f"{prose(rng, 20)} {shared[3]} {prose(rng, 20)}")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_passages(docs(spark, *rows)).collect()}
+    for k, p in enumerate(shared):
+        own = {i: t for i, t in rows if i // 10 == (k if k < 3 else 9)}
+        left = [i for i in own if p in got[i]]
+        assert len(left) == 1
+        for i, t in own.items():
+            assert i in left or got[i].split() == t.replace(p, "").split(), (k, i)
+
+
+def test_a_passage_wrapped_in_other_ways_goes_whole(spark):
+    rng = random.Random(25)
+    w = prose(rng, 90).split()
+    wrap = lambda k: "\n".join(" ".join(w[i : i + k]) for i in range(0, 90, k))
+    rows = [(k, f"{prose(rng, 15)} {wrap(k)} {prose(rng, 15)}") for k in (5, 7, 90)] + [(1, f"{prose(rng, 15)} {' '.join(w[:45])} {prose(rng, 15)}")]
+    got = {r.doc_id: r.text.split() for r in line_dedup.dedup_passages(docs(spark, *rows)).collect()}
+    assert sum(x in w for t in got.values() for x in t) == 90
+    assert all([x for x in t.split() if x not in w] == [x for x in got[i] if x not in w] for i, t in rows)
+
+
 def test_short_notices_in_long_blocks_and_repeated_ones():
     known = license_scan.TEMPLATES
     names = lambda text: sorted(x[2] for x in license_scan.Scanner(known).scan(text))
