@@ -528,6 +528,15 @@ def test_a_passage_within_other_lines_goes_to_its_last_word(spark):
             assert i in left or got[i].split() == t.replace(p, "").split(), (k, i)
 
 
+def test_a_passage_in_short_lines_goes(spark):
+    rng = random.Random(24)
+    passage = "\n".join(prose(rng, n) for n in (5, 2, 7, 1, 4, 9, 3, 6, 8, 5, 2))
+    rows = [(i, f"{prose(rng, 20)}\n{passage}\n{prose(rng, 20)}") for i in range(2)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_passages(docs(spark, *rows)).collect()}
+    assert sorted(passage in got[i] for i, _ in rows) == [False, True]
+    assert all(got[i] in (t, t.replace(passage + "\n", "")) for i, t in rows)
+
+
 def test_a_passage_wrapped_in_other_ways_goes_whole(spark):
     rng = random.Random(25)
     w = prose(rng, 90).split()
