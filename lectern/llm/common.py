@@ -18,16 +18,44 @@ BATCH_ROWS = 500
 BATCH_BYTES = 16 << 20
 
 
+#: Narrow rows that one task may hold without harm: joins of fewer rows are left to Spark.
+TASK_ROWS = 1 << 20
+#: Rows of a few numbers that are broadcast at most.
+BROADCAST_ROWS = 500_000
+#: A key is hot if it has more than one row in so many; so there are fewer hot keys than this, however large the table.
+HOT = 10_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The checkpoint folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where it is unset and all runs on this machine."""
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lectern-"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lectern-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def meet(rows: DataFrame, known: DataFrame, key: str, task_rows: int = TASK_ROWS, broadcast_rows: int = BROADCAST_ROWS, hot: int = HOT) -> DataFrame:
+    """The rows of ``rows`` whose ``key`` stands in ``known``, with the columns of ``known`` but ``uses``. No key's rows are one task's work.
+
+    ``known``: narrow rows, one for each key, already cut(); ``uses``: how many rows have the key. Up to ``broadcast_rows`` of them are broadcast. Beyond, keys
+    with more than 1 in ``hot`` of all uses, which are fewer than ``hot``, are broadcast; the others meet in a shuffled join, where none is hot.
+    If at most ``task_rows`` rows meet, the join is left to Spark."""
+    total, n = known.agg(F.coalesce(F.sum("uses"), F.lit(0)), F.count("*")).first()
+    plain = known.drop("uses")
+    if total <= task_rows:
+        return rows.join(plain, key)
+    if n <= broadcast_rows:
+        return rows.join(F.broadcast(plain), key)
+    often = F.broadcast(known.where(F.col("uses") > total / hot).drop("uses"))
+    rare = known.where(F.col("uses") <= total / hot).drop("uses")
+    return rows.join(often, key).unionByName(rows.join(often.select(key), key, "left_anti").join(rare.hint("merge"), key))
+
+
 def cut(df: DataFrame, tasks_a_core: int | None = None) -> DataFrame:
     """``df`` computed once and kept in the shared folder, with its lineage cut. For narrow rows.
 

@@ -1,406 +1,384 @@
-"""Line deduplication by a log-template tree: recurring templates across documents are dropped, but in one text of those that have them."""
+"""Line deduplication by a log-template tree: recurring templates across documents are dropped, but in one document of those that have them."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lectern.llm.common import _arrow, bounded_batches, cut
+from lectern.llm.common import BROADCAST_ROWS, HOT, TASK_ROWS, _arrow, bounded_batches, cut, meet
 from lectern.llm.simhash import components
 
 #: Leading tokens that, after the token count, lead to a leaf of the tree.
 DEPTH = 3
-#: Tokens from which a template recurs by standing in two documents; a shorter one, down to SHORTEST tokens, needs SHORT_ROWS rows.
+#: Tokens from which a template recurs by standing in two documents; a shorter line, down to SHORTEST tokens, needs SHORT_ROWS rows.
 LONG, SHORTEST, SHORT_ROWS = 12, 3, 10
 #: Parts of a line's tokens after the leading ones; lines of a leaf that differ within one part alone are of one template.
 PARTS = 4
-#: Tokens from which a sentence within a line of several is a unit too: a passage can stand in lines that differ around it.
+#: Tokens from which a sentence is a unit of its own.
 SENTENCE = 8
-#: Recurring templates that are broadcast at most (16 bytes each); more meet the documents' lines in a shuffled join.
-BROADCAST_TEMPLATES = 500_000
-#: Documents whose recurring places are broadcast at most; more meet the texts in a shuffled join.
-BROADCAST_DOCS = 100_000
-#: A document of which recurring lines are more than this share of the words is a copy as a whole: near-duplicate removal decides on it, not this operator.
-COPY_SHARE = 0.8
-#: The token of the least checksum among any REACH adjacent ones of a sentence ends a piece, so equal words have equal pieces but for REACH tokens at either
-#: end, and a passage of 2 * REACH + LONG tokens has a run of its own whatever stands around it.
-REACH = 15
-_FIELD = re.compile(rb"\S*[0-9]\S*")
-_TOKEN = re.compile(rb"\S+")
-_ENDS = (b".", b"!", b"?", b"\xe2\x80\xa6")
-
-_STOP = re.compile(rb"[.!?\xa6](?=[ \t\r\x0b\x0c])")
-#: The same places between sentences, for Java.
-_BETWEEN = "(?<=[.!?…])(?=[ \\t\\r\\x0B\\f])"
-#: A place is a line's number times 2 ** 20, plus a sentence's number from 1 for a sentence.
-_SHIFT = 20
-
-
-def sentences_of(line: bytes) -> list[bytes]:
-    """The pieces of a line between a full stop, question or exclamation mark or ellipsis and white space; each keeps the white space before it."""
-    ends = [m.end() for m in _STOP.finditer(line) if line[m.start()] != 0xA6 or line[m.start() - 2 : m.end()] == b"\xe2\x80\xa6"]
-    return [line[i:j] for i, j in zip([0, *ends], [*ends, len(line)], strict=True)] if ends else [line]
-
-
-def sentence_hash(sentence: bytes) -> tuple[int, int] | None:
-    """(tokens, hash); None below SENTENCE tokens."""
-    if len(sentence.translate(None, b"0123456789")) != len(sentence):
-        sentence = _FIELD.sub(b"<*>", sentence)
-    tokens = sentence.split()
-    return (len(tokens), xxhash.xxh64_intdigest(b" ".join(tokens), len(tokens)) - (1 << 63)) if len(tokens) >= SENTENCE else None
-
-
-def parse(line: bytes) -> tuple[int, int, list[int]] | int:
-    """(tokens, hash, keys) of a line: tokens with a digit are variable fields (<*>); each key leaves one part out. The number of tokens alone below SHORTEST."""
-    if len(line.translate(None, b"0123456789")) != len(line):
-        line = _FIELD.sub(b"<*>", line)
-    return parse_tokens(line.split())
-
-
-def parse_tokens(tokens: list[bytes]) -> tuple[int, int, list[int]] | int:
-    n = len(tokens)
-    if n < SHORTEST:
-        return n
-    digest = lambda x: xxhash.xxh64_intdigest(x, n) - (1 << 63)
-    whole = digest(b" ".join(tokens))
-    if n < LONG:
-        return n, whole, []
-    rest = n - DEPTH
-    at = [0, *(DEPTH + rest * k // PARTS for k in range(PARTS + 1))]
-    parts = [xxhash.xxh64_digest(b" ".join(tokens[i:j])) for i, j in zip(at, at[1:], strict=False)]
-    return n, whole, [digest(b"%d" % k + b"".join(parts[: k + 1] + parts[k + 2 :])) for k in range(PARTS)]
-
-
-_LINE = "struct<t:bigint,n:int,place:bigint,k0:bigint,k1:bigint,k2:bigint,k3:bigint>"
-_SENTENCE = "struct<t:bigint,n:int,place:bigint>"
-
-
-def _nested(rows: list[tuple], offsets: list[int], names: tuple[str, ...]) -> pa.Array:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-    values = [pa.array(c, pa.int32() if n == "n" else pa.int64()) for c, n in zip(columns, names, strict=True)]
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(values, list(names)))
-
-
-def _flat(rows: list[tuple], offsets: list[int]) -> list[pa.Array]:
-    """(t, n, place) as three arrays of numbers, a third of the room of structs."""
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 3
-    return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(c, kind)) for c, kind in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
-
-
-def _units(parsed: DataFrame) -> DataFrame:
-    at = parsed.select("doc_id", "h", "ns", "places", F.posexplode("ts").alias("at", "t"))
-    return at.select("doc_id", "h", F.lit(0).alias("words"), "t", F.get("ns", F.col("at")).alias("n"), F.get("places", F.col("at")).cast("long").alias("place"))
-
-
-def parse_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, h (hash of the text), words, lines and sentences: t (template), n (tokens; negative if the document has had t before), place, and for
-    lines the keys k0 to k3 (null for short ones). A row for each document, as arrays take a third of the room of rows."""
-    bounded_batches(docs.sparkSession)
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("__text"))
-    schema = StructType([source.schema["doc_id"], *StructType.fromDDL(f"h bigint, words int, lines array<{_LINE}>, sentences array<{_SENTENCE}>")])
+#: Of so many adjacent grams of LONG tokens, the one of the least hash is an anchor; LONG + REACH - 1 tokens in a row that two documents share have one in common.
+REACH = 28
+#: Bytes of recurring places that are broadcast at most; more meet the texts in a shuffled join.
+BROADCAST_BYTES = 32 << 20
+#: Bytes of texts whose tokens are worked on at once.
+_GROUP = 1 << 20
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_MASK = (1 << 64) - 1
+_BASE = 0x9E3779B97F4A7C1B
+_MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+_FIELD, _LINE, _SENTENCE, _GRAM, _KEY = (np.uint64(x * 0xD6E8FEB86659FD93 & _MASK) for x in range(3, 8))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift, by in ((30, _MIX[0]), (27, _MIX[1])):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(n: int, base: int) -> np.ndarray:
+    steps = np.full(n, base & _MASK, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+def _slide(least_or_most, x: np.ndarray, width: int) -> np.ndarray:
+    """least_or_most over each ``width`` adjacent values."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        x = least_or_most(x[: len(x) - step], x[step:])
+        have += step
+    return x
+
+
+class Tokens:
+    """The tokens (runs of bytes other than ASCII white space) of some texts. ``at``: each text's first token, and the number of all at the end.
+
+    A token with a digit is a variable field; all fields have one code. A hash of tokens a to b comes from prefix sums of their codes, so its cost does not
+    depend on their number."""
+
+    def __init__(self, bodies: list[bytes]) -> None:
+        joined = b"\n".join(bodies)
+        raw = np.frombuffer(joined, np.uint8)
+        solid = ~_SPACE[raw]
+        edge = np.diff(solid.view(np.int8), prepend=0, append=0)
+        self.first, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        n = len(self.first)
+        code = _mixed(np.fromiter(map(crc32, joined.split()), np.uint64, n) + np.uint64(_BASE))
+        code[np.searchsorted(self.first, np.flatnonzero((raw - np.uint8(48)) < 10), "right") - 1] = _FIELD
+        self.line = np.cumsum(raw == 10, dtype=np.int32)[self.first] if n else np.zeros(0, np.int32)
+        self.at = np.searchsorted(self.first, np.cumsum([0, *(len(b) + 1 for b in bodies)]))
+        last = raw[self.end - 1] if n else raw[:0]
+        self.stop = (last == 46) | (last == 33) | (last == 63)
+        if (last == 0xA6).any():
+            self.stop |= (last == 0xA6) & (raw[self.end - 2] == 0x80) & (raw[self.end - 3] == 0xE2)
+        self._sum = np.concatenate((np.zeros(1, np.uint64), np.cumsum(code * _powers(n, _BASE), dtype=np.uint64))) if n else np.zeros(1, np.uint64)
+        self._back = _powers(n + 1, pow(_BASE, -1, 1 << 64))
+
+    def hash(self, a: np.ndarray, b: np.ndarray, tag: np.uint64) -> np.ndarray:
+        return _mixed((self._sum[b] - self._sum[a]) * self._back[a] + _mixed((b - a).astype(np.uint64) + tag))
+
+    def text_of(self, tokens: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.at, tokens, "right") - 1
+
+    def spans(self, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first tokens, ends) of what ends at the tokens marked in ``last``."""
+        ends = np.flatnonzero(last) + 1
+        return np.concatenate((np.zeros(1, np.int64), ends[:-1])), ends
+
+    def grams(self) -> np.ndarray:
+        """A hash for each LONG adjacent tokens, of one text or of several."""
+        a = np.arange(max(0, len(self.line) - LONG + 1))
+        return self.hash(a, a + LONG, _GRAM)
+
+
+def _again(text: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Whether a text has had t before."""
+    order = np.lexsort((np.arange(len(t)), t, text))
+    same = (t[order][1:] == t[order][:-1]) & (text[order][1:] == text[order][:-1])
+    out = np.zeros(len(t), bool)
+    out[order[1:][same]] = True
+    return out
+
+
+class Units(NamedTuple):
+    """Parallel arrays of the units of some texts, and where each text's begin."""
+
+    t: np.ndarray
+    place: np.ndarray
+    n: np.ndarray  # negative if the text has had t before
+    more: tuple[np.ndarray, ...]
+    at: np.ndarray
+
+
+def _units(tokens: Tokens, a: np.ndarray, b: np.ndarray, tag: np.uint64) -> Units:
+    t, text = tokens.hash(a, b, tag), tokens.text_of(a)
+    n = (b - a).astype(np.int32)
+    return Units(t, (a - tokens.at[text]).astype(np.int32), np.where(_again(text, t), -n, n), (), np.searchsorted(a, tokens.at))
+
+
+def lines_of(tokens: Tokens) -> Units:
+    """Lines of SHORTEST or more tokens. ``more``: the PARTS keys of each, of which each leaves one part out; 0 for lines under LONG tokens."""
+    a, b = tokens.spans(np.append(np.diff(tokens.line) != 0, True)[: len(tokens.line)])
+    a, b = a[: len(b)], b
+    enough = b - a >= SHORTEST
+    a, b = a[enough], b[enough]
+    out = _units(tokens, a, b, _LINE)
+    keys = np.zeros((len(a), PARTS), np.uint64)
+    far = b - a >= LONG
+    x, y = a[far], b[far]
+    at = [x + DEPTH + (y - x - DEPTH) * k // PARTS for k in range(PARTS + 1)]
+    parts = [tokens.hash(at[k], at[k + 1], _KEY) * np.uint64(2 * k + 3) for k in range(PARTS)]
+    whole = sum(parts) + tokens.hash(x, x + DEPTH, _KEY) + _mixed((y - x).astype(np.uint64))
+    for k in range(PARTS):
+        keys[far, k] = _mixed(whole - parts[k] + np.uint64(k))
+    return out._replace(more=(keys.reshape(-1),))
+
+
+def sentences_of(tokens: Tokens) -> Units:
+    """Sentences of SENTENCE or more tokens: they end at a full stop, exclamation or question mark or ellipsis, and with their line."""
+    a, b = tokens.spans(np.append(np.diff(tokens.line) != 0, True)[: len(tokens.line)] | tokens.stop)
+    a = a[: len(b)]
+    enough = b - a >= SENTENCE
+    return _units(tokens, a[enough], b[enough], _SENTENCE)
+
+
+def anchors_of(tokens: Tokens) -> Units:
+    """Anchors: grams of the least hash among REACH adjacent ones of a text. ``more``: the way to the next anchor of the text, at most REACH tokens, and a
+    hash of all tokens to that one's end; both 0 for the last anchor. What two texts share gets the same anchors, whatever stands around it."""
+    gram = tokens.grams()
+    end = np.repeat(tokens.at[1:], np.diff(tokens.at))[: len(gram)]
+    at = np.arange(len(gram))
+    least = _slide(np.minimum, gram, REACH) if len(gram) >= REACH else gram[:0]
+    least = np.where(at[: len(least)] + REACH + LONG - 1 <= end[: len(least)], least, np.uint64(0))
+    pad = np.zeros(REACH - 1, np.uint64)
+    a = np.flatnonzero((_slide(np.maximum, np.concatenate((pad, least, pad)), REACH) == gram) & (at + LONG <= end)) if len(least) else at[:0]
+    text = tokens.text_of(a)
+    way, run = np.zeros(len(a), np.int8), np.zeros(len(a), np.int32)
+    on = np.flatnonzero(text[1:] == text[:-1])
+    way[on] = a[on + 1] - a[on]
+    run[on] = (tokens.hash(a[on], a[on + 1] + LONG, _GRAM) >> np.uint64(33)).astype(np.int32) + 1
+    return Units(gram[a], (a - tokens.at[text]).astype(np.int32), way, (run,), np.searchsorted(a, tokens.at))
+
+
+def grams_beside(tokens: Tokens, asked: list[list[int]]) -> Units:
+    """The grams within REACH places before (1), after (2) or on both sides (3) of the asked anchors (place * 4 + side) of each text."""
+    gram = tokens.grams()
+    edge = np.zeros(len(gram) + 2, np.int32)
+    for k, own in enumerate(asked):
+        place, side = np.divmod(np.asarray(own, np.int64), 4)
+        lo, hi = tokens.at[k], max(tokens.at[k], tokens.at[k + 1] - LONG + 1)
+        place += lo
+        np.add.at(edge, np.clip(np.where(side % 2, place - REACH, place + 1), lo, hi), 1)
+        np.add.at(edge, np.clip(np.where(side >= 2, place + REACH + 1, place), lo, hi), -1)
+    a = np.flatnonzero(np.cumsum(edge)[: len(gram)] > 0)
+    return Units(gram[a], (a - tokens.at[tokens.text_of(a)]).astype(np.int32), np.full(len(a), LONG, np.int32), (), np.searchsorted(a, tokens.at))
+
+
+def _groups(bodies: list[bytes]) -> Iterator[slice]:
+    """Texts of _GROUP bytes together, or one longer text."""
+    at = size = 0
+    for k, body in enumerate(bodies):
+        if size and size + len(body) > _GROUP:
+            yield slice(at, k)
+            at, size = k, 0
+        size += len(body) + 1
+    if bodies:
+        yield slice(at, len(bodies))
+
+
+def _lists(parts: list[np.ndarray], ats: list[np.ndarray], kind: pa.DataType, times: int = 1) -> pa.Array:
+    """One list for each text from the arrays of its group."""
+    values = np.concatenate([np.ascontiguousarray(p).view(np.int64) if p.dtype == np.uint64 else p for p in parts])
+    offsets, base = [np.zeros(1, np.int64)], 0
+    for at in ats:
+        offsets.append(at[1:] * times + base)
+        base += at[-1] * times
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), pa.array(values, kind))
+
+
+_PARSED = "h bigint, lt array<bigint>, ln array<int>, lp array<int>, lk array<bigint>, st array<bigint>, sn array<int>, sp array<int>, at array<bigint>, aw array<tinyint>, ap array<int>, ar array<int>"
+
+
+def parse(source: DataFrame) -> DataFrame:
+    """(doc_id, h, ...) of (doc_id, h, __text): arrays of the lines, sentences and anchors of each text, which take a third of the room of rows."""
+    schema = StructType([source.schema["doc_id"], *StructType.fromDDL(_PARSED)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines: list[tuple] = []
-            pieces: list[tuple] = []
-            words, line_at, piece_at = [], [0], [0]
-            for body in batch.column(2).cast(pa.binary()).to_pylist():
-                seen: set[int] = set()
-                had: set[int] = set()
-                total = 0
-                for number, line in enumerate((body or b"").split(b"\n")):
-                    parsed = parse(line)
-                    if isinstance(parsed, int):
-                        total += parsed
-                        continue
-                    n, t, keys = parsed
-                    total += n
-                    lines.append((t, -n if t in seen else n, number << _SHIFT, *(keys or (None,) * PARTS)))
-                    seen.add(t)
-                    if n > SENTENCE and len(own := sentences_of(line)) > 1:
-                        for k, piece in enumerate(own, 1):
-                            if len(piece) > 2 * SENTENCE - 2 and (found := sentence_hash(piece)):
-                                pieces.append((found[1], -found[0] if found[1] in had else found[0], (number << _SHIFT) + k))
-                                had.add(found[1])
-                words.append(total)
-                line_at.append(len(lines))
-                piece_at.append(len(pieces))
-            columns = [batch.column(0), batch.column(1), pa.array(words, pa.int32()), _nested(lines, line_at, ("t", "n", "place", "k0", "k1", "k2", "k3")), _nested(pieces, piece_at, ("t", "n", "place"))]
+            bodies = [b or b"" for b in batch.column(2).cast(pa.binary()).to_pylist()]
+            lines, sentences, anchors = [], [], []
+            for part in _groups(bodies):
+                tokens = Tokens(bodies[part])
+                lines.append(lines_of(tokens))
+                sentences.append(sentences_of(tokens))
+                anchors.append(anchors_of(tokens))
+            if not bodies:
+                continue
+            columns = [batch.column(0), batch.column(1)]
+            for units, kinds in ((lines, (pa.int32(), pa.int64())), (sentences, (pa.int32(),)), (anchors, (pa.int8(), pa.int32()))):
+                ats = [u.at for u in units]
+                columns += [_lists([u.t for u in units], ats, pa.int64()), _lists([u.n for u in units], ats, kinds[0]), _lists([u.place for u in units], ats, pa.int32())]
+                columns += [_lists([u.more[0] for u in units], ats, kinds[1], PARTS if units is lines else 1)] if len(kinds) > 1 else []
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return source.mapInArrow(run, schema)
-
-
-def _spread() -> list[Column]:
-    """Numbers alone, so that these sums are hash aggregates: a template recurs if two texts have it; it stays in the text of the smallest hash."""
-    return [F.count_if(F.col("n") > 0).alias("rows"), F.max("n").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")]
+    return source.select("doc_id", "h", "__text").mapInArrow(run, schema)
 
 
-def recurring_lines(rows: DataFrame) -> DataFrame:
-    """(t, kept): line templates that recur across documents, and the smallest hash of a text that has one.
-
-    Equal lines are one row after a map-side combined count. Distinct lines meet by key in minima, not in pairs, and the links make components."""
-    lines = cut(rows.groupBy("t").agg(*_spread(), *(F.max(f"k{k}").alias(f"k{k}") for k in range(PARTS))))
-    keyed = lines.where("k0 IS NOT NULL").select("t", F.explode(F.array(*(f"k{k}" for k in range(PARTS)))).alias("key"))
-    groups = keyed.groupBy("key").agg(F.min("t").alias("m"), F.max("t").alias("x")).where("m <> x").select("key", "m")
-    links = keyed.join(groups, "key").where("t <> m").select(F.col("t").alias("u"), F.col("m").alias("v")).distinct()
-    of = components(links)
-    lines = lines.join(of.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t"))
-    total = lines.groupBy("root").agg(F.sum("rows").alias("rows"), F.max("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    often = total.where((F.col("low") != F.col("high")) & ((F.col("n") >= LONG) | (F.col("rows") >= SHORT_ROWS)))
-    return lines.select("t", "root").join(often.select("root", F.col("low").alias("kept")), "root").select("t", "kept")
-
-
-def recurring_sentences(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("t").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("t", F.col("low").alias("kept"))
-
-
-def _met(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """The rows of known templates, with kept."""
-    known = cut(known, 4)
-    known = F.broadcast(known) if known.count() <= BROADCAST_TEMPLATES else known
-    return rows.join(known, "t")
+def parse_beside(source: DataFrame) -> DataFrame:
+    """(doc_id, h, t, p): grams_beside() the places ``asked`` of (doc_id, h, __text, asked)."""
+    schema = StructType([source.schema["doc_id"], *StructType.fromDDL("h bigint, t array<bigint>, p array<int>")])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies, asked = [b or b"" for b in batch.column(2).cast(pa.binary()).to_pylist()], batch.column(3).to_pylist()
+            units = [grams_beside(Tokens(bodies[part]), asked[part]) for part in _groups(bodies)]
+            if units:
+                ats = [u.at for u in units]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists([u.t for u in units], ats, pa.int64()), _lists([u.place for u in units], ats, pa.int32())], names=schema.names)
 
-def _lost(rows: DataFrame) -> DataFrame:
-    """(doc_id, h, words, place, n) of what is dropped: of a recurring template, all but what the kept text has first."""
-    return rows.where((F.col("h") != F.col("kept")) | (F.col("n") < 0)).select("doc_id", "h", "words", "place", F.abs("n").alias("n"))
+    return source.select("doc_id", "h", "__text", "asked").mapInArrow(run, schema)
 
 
-def _gone(rows: DataFrame, known: DataFrame) -> DataFrame:
-    return _lost(_met(rows, known))
+def _rows(parsed: DataFrame, t: str, **others: Column) -> DataFrame:
+    """A row for each element of the array ``t``; ``others``: what else to take, at its number i."""
+    return parsed.select("*", F.posexplode(t).alias("i", "unit")).select("doc_id", "h", F.col("unit").alias("t"), *(c.alias(name) for name, c in others.items()))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the lines of recurring templates taken out of ``text``, and n_lines, n_dropped (lines) and n_cut (sentences) added (columns of these
-    names are replaced).
+def _spread() -> list[Column]:
+    """Numbers alone, so that these sums are hash aggregates: a template recurs if two documents have it; it stays in the one of the smallest hash."""
+    return [F.count("*").alias("uses"), F.min("h").alias("kept"), F.max("h").alias("other")]
 
-    The tree: a line goes by its token count and its first DEPTH tokens to a leaf; in a leaf, lines that differ in variable fields (tokens with a
-    digit) or within one of PARTS parts of the other tokens are one template. A template recurs if documents of two different texts have it (under
-    LONG tokens: if also SHORT_ROWS rows have it); lines of under SHORTEST tokens always stay. Of a line that stays, sentences of SENTENCE or more
-    tokens go if they recur, equal but for variable fields, within other lines. A recurring template stays once in the text of the smallest hash
-    that has it. A document that would lose more than COPY_SHARE of its words stays whole: it is a copy, and near-duplicate removal keeps one of its kind.
 
-    Documents of equal text count as one and lose the same. A null text stays null, with no lines. An empty table gives an empty one."""
-    docs = docs.drop("n_lines", "n_dropped", "n_cut")
-    parsed = cut(parse_lines(docs, doc_id, text))
-    lines = parsed.select("doc_id", "h", "words", F.inline("lines"))
-    pieces = parsed.select("doc_id", "h", "words", F.inline("sentences"))
-    gone = _gone(lines.drop("k0", "k1", "k2", "k3"), recurring_lines(lines.drop("words"))).unionByName(_gone(pieces, recurring_sentences(pieces.drop("words"))))
-    drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set(F.struct("place", "n")).alias("__gone"), F.max("words").alias("__words"))
-    whole = F.transform(F.filter("__gone", lambda x: x["place"] % (1 << _SHIFT) == 0), lambda x: x["place"])
-    drops = drops.withColumn("__lines", whole).withColumn("__cuts", F.filter("__gone", lambda x: (x["place"] % (1 << _SHIFT) > 0) & ~F.array_contains("__lines", x["place"] - x["place"] % (1 << _SHIFT))))
-    count = lambda of: F.aggregate(of, F.lit(0).cast("long"), lambda total, x: total + x["n"])
-    lost = count(F.filter("__gone", lambda x: x["place"] % (1 << _SHIFT) == 0)) + count("__cuts")
-    drops = drops.where(lost <= COPY_SHARE * F.col("__words")).select("__id", "__h", "__lines", F.col("__cuts.place").alias("__cuts"))
-    joined = docs.join(drops, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__h")), "left")
-    at = lambda i: F.shiftleft(i.cast("long"), _SHIFT)
-
-    def shorter(line: Column, i: Column) -> Column:
-        cuts = F.filter("__cuts", lambda c: c - c % (1 << _SHIFT) == at(i))
-        kept = F.array_join(F.filter(F.split(line, _BETWEEN, -1), lambda x, k: ~F.array_contains(cuts, at(i) + k + 1)), "")
-        return F.struct(i.alias("i"), F.when(F.size(cuts) > 0, kept).otherwise(line).alias("x"))
-
-    left = F.filter(F.transform(F.split(F.col(text), "\n", -1), shorter), lambda s: ~F.array_contains("__lines", at(s["i"])))
-    kept = F.array_join(F.transform(left, lambda s: s["x"]), "\n")
-    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1).cast("long")
-    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
-    out = joined.withColumns({"n_lines": n_lines, "n_dropped": size("__lines"), "n_cut": size("__cuts"), text: F.when(F.col("__lines").isNull(), F.col(text)).otherwise(kept)})
-    return out.select(*docs.columns, "n_lines", "n_dropped", "n_cut")
-
-
-def picked(tokens: list[bytes]) -> list[int]:
-    """The places after tokens of the least checksum (the last of equal ones) among REACH adjacent ones."""
-    if len(tokens) < REACH:
-        return []
-    sums = np.fromiter(map(crc32, tokens), np.uint32, len(tokens))
-    windows = np.lib.stride_tricks.sliding_window_view(sums, REACH)[:, ::-1]
-    return np.unique(np.arange(REACH, len(tokens) + 1) - windows.argmin(1)).tolist()
-
-
-def runs_of(edges: list[int]) -> set[tuple[int, int]]:
-    """(first, end): from each edge on, and back from each edge, the shortest run of pieces with LONG or more tokens."""
-    spans, i, j = set(), 0, 0
-    for a in edges:
-        while j < len(edges) and edges[j] - a < LONG:
-            j += 1
-        if j == len(edges):
-            break
-        spans.add((a, edges[j]))
-    for b in edges:
-        if b >= LONG:
-            while b - edges[i + 1] >= LONG:
-                i += 1
-            spans.add((edges[i], b))
-    return spans
-
-
-def units_of(body: bytes) -> tuple[list[tuple], list[tuple]]:
-    """(lines, units) of a text; places are the numbers of first tokens. Units are sentences of SENTENCE to LONG - 1 tokens (n negative if the text has had
-    one before) and runs of pieces: from each piece on, and back from each piece, the shortest run of LONG or more tokens, across lines. So every piece of a
-    passage of LONG or more tokens in whole pieces is in a run within it. Sentences, lines and picked() tokens end a piece; runs without
-    regard to lines are units too, as a passage can be wrapped in other ways."""
-    lines: list[tuple] = []
-    units: list[tuple] = []
-    tokens: list[bytes] = []
-    ends, stops, seen, had = [0], [0], set(), set()
-    for line in body.split(b"\n"):
-        raw = own = line.split()
-        if not raw:
-            continue
-        if len(line.translate(None, b"0123456789")) != len(line):
-            own = _FIELD.sub(b"<*>", line).split()
-        at, parsed = len(tokens), parse_tokens(own)
-        if not isinstance(parsed, int):
-            n, t, keys = parsed
-            lines.append((t, -n if t in seen else n, at, *(keys or (None,) * PARTS)))
-            seen.add(t)
-        tokens += own
-        first, last = 0, len(raw) - 1
-        for k, x in enumerate(raw):
-            end = x.endswith(_ENDS)
-            if end or k == last:
-                ends.append(at + k + 1)
-                if end:
-                    stops.append(at + k + 1)
-                n = k + 1 - first
-                if SENTENCE <= n < LONG:
-                    t = xxhash.xxh64_intdigest(b" ".join(own[first : k + 1]), n) - (1 << 63)
-                    units.append((t, -n if t in had else n, at + first))
-                    had.add(t)
-                first = k + 1
-    own = [a + x for a, b in zip(stops, [*stops[1:], len(tokens)], strict=True) if b - a >= REACH for x in picked(tokens[a:b])]
-    spans = runs_of(sorted({*ends, *own})) | runs_of(sorted({*stops, *own}))
-    units += [(xxhash.xxh64_intdigest(b" ".join(tokens[a:b]), b - a) - (1 << 63), b - a, a) for a, b in spans]
-    return lines, units
-
-
-def border_units(body: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(t, n, place) of all runs of LONG tokens that reach up to REACH tokens over an end of a recurring span (first, number): as far as a passage can go on
-    without another run that recurs."""
-    tokens = _FIELD.sub(b"<*>", body).split()
-    starts: set[int] = set()
-    for a, n in spans:
-        starts.update(range(a + n - LONG + 1, a + n - LONG + 1 + REACH))
-        starts.update(range(max(0, a - REACH), a))
-    return [(xxhash.xxh64_intdigest(b" ".join(tokens[a : a + LONG]), LONG) - (1 << 63), LONG, a) for a in sorted(starts) if a + LONG <= len(tokens)]
-
-
-def parse_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, h, lines and units of (doc_id, h, __text); a row for each document."""
-    bounded_batches(docs.sparkSession)
-    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL(f"h bigint, lines array<{_LINE}>, ts array<bigint>, ns array<int>, places array<int>")])
+def recurring_lines(lines: DataFrame, keyed: DataFrame, **limits: int) -> DataFrame:
+    """(t, kept, uses): line templates that recur across documents, and the smallest hash of a document that has one.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines, units, line_at, unit_at = [], [], [0], [0]
-            for body in batch.column(2).cast(pa.binary()).to_pylist():
-                own, other = units_of(body or b"")
-                lines += own
-                units += other
-                line_at.append(len(lines))
-                unit_at.append(len(units))
-            columns = [batch.column(0), batch.column(1), _nested(lines, line_at, ("t", "n", "place", "k0", "k1", "k2", "k3")), *_flat(units, unit_at)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+    Equal lines are one row after a map-side combined count. Distinct lines meet by key in minima, not in pairs, and the links make components."""
+    distinct = cut(lines.groupBy("t").agg(*_spread(), F.count_if(F.col("n") > 0).alias("rows"), F.max("n").alias("n")), 4)
+    pairs = keyed.groupBy("t").agg(*(F.max(f"k{k}").alias(f"k{k}") for k in range(PARTS))).select("t", F.explode(F.array(*(f"k{k}" for k in range(PARTS)))).alias("key"))
+    pairs = cut(pairs, 4)
+    groups = cut(pairs.groupBy("key").agg(F.min("t").alias("m"), F.max("t").alias("x"), F.count("*").alias("uses")).where("m <> x").select("key", "m", "uses"), 4)
+    of = components(meet(pairs, groups, "key", **limits).where("t <> m").select(F.col("t").alias("u"), F.col("m").alias("v")).distinct())
+    rooted = cut(distinct.join(of.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t")), 4)
+    total = rooted.groupBy("root").agg(F.sum("rows").alias("rows"), F.max("n").alias("n"), F.min("kept").alias("kept"), F.max("other").alias("other"), F.count("*").alias("forms"))
+    often = total.where((F.col("kept") != F.col("other")) & ((F.col("n") >= LONG) | (F.col("rows") >= SHORT_ROWS)))
+    alone = often.where("forms = 1").select(F.col("root").alias("t"), "kept")
+    several = cut(often.where("forms > 1").select("root", F.col("forms").alias("uses"), F.col("kept").alias("k")), 4)
+    members = meet(rooted.select("t", "root", "uses"), several, "root", **limits).select("t", F.col("k").alias("kept"), "uses")
+    return members.unionByName(distinct.select("t", "uses").join(alone, "t").select("t", "kept", "uses"))
 
-    return docs.select("doc_id", "h", "__text").mapInArrow(run, schema)
 
+def recurring(rows: DataFrame, *more: Column) -> DataFrame:
+    """(t, kept, uses) and ``more`` of templates that recur."""
+    return rows.groupBy("t").agg(*_spread(), *more).where("kept <> other").drop("other")
 
-def parse_borders(docs: DataFrame) -> DataFrame:
-    """doc_id, h and border_units() of (doc_id, h, __text, spans)."""
-    schema = StructType([docs.schema["doc_id"], *StructType.fromDDL("h bigint, ts array<bigint>, ns array<int>, places array<int>")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            units, at = [], [0]
-            for body, spans in zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                units += border_units(body, [(x["place"], x["n"]) for x in spans])
-                at.append(len(units))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *_flat(units, at)], names=schema.names)
-
-    return docs.select("doc_id", "h", "__text", "spans").mapInArrow(run, schema)
-
-
-def without(body: bytes, gone: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """(text, lines dropped, cuts within lines): the text without the tokens of ``gone`` (first, number), each with the white space before it."""
-    flags = bytearray(len(body) // 2 + 1)
-    for at, n in gone:
-        n = min(n, len(flags) - at)
-        flags[at : at + n] = b"\1" * n
-    out, at, dropped, cuts = [], 0, 0, 0
-    for line in body.split(b"\n"):
-        spans = [m.span() for m in _TOKEN.finditer(line)]
-        own = flags[at : at + len(spans)]
-        at += len(spans)
-        if 1 not in own:
+def _lost(rows: DataFrame) -> DataFrame:
+    """(doc_id, h, gone: place and number of tokens) of what is dropped: of a recurring template, all but what the kept document has first."""
+    return rows.where((F.col("h") != F.col("kept")) | (F.col("n") < 0)).select("doc_id", "h", (F.col("place").cast("long") * (1 << 31) + F.abs("n")).alias("gone"))
+
+
+def without(body: bytes, gone: np.ndarray) -> tuple[bytes, int, int]:
+    """(text, lines dropped, cuts within lines): the text without the tokens of ``gone`` (first * 2 ** 31 + number), each with the white space before it."""
+    tokens = Tokens([body])
+    n = len(tokens.line)
+    edge = np.zeros(n + 1, np.int32)
+    first = np.minimum(gone >> 31, n)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, np.minimum(first + (gone & ((1 << 31) - 1)), n), -1)
+    flag = np.cumsum(edge)[:n] > 0
+    lines = body.split(b"\n")
+    at = np.searchsorted(tokens.line, np.arange(len(lines) + 1)).tolist()
+    lost = np.concatenate((np.zeros(1, np.int64), np.cumsum(flag)))[at].tolist()
+    flags, ends, out, dropped, cuts, begin = flag.tolist(), tokens.end.tolist(), [], 0, 0, 0
+    for k, line in enumerate(lines):
+        i, j = at[k], at[k + 1]
+        if lost[k + 1] == lost[k]:
             out.append(line)
-        elif 0 not in own:
+        elif lost[k + 1] - lost[k] == j - i:
             dropped += 1
         else:
             kept, end = [], 0
-            for k, (_, b) in enumerate(spans):
-                if own[k]:
-                    cuts += k == 0 or not own[k - 1]
+            for x in range(i, j):
+                if flags[x]:
+                    cuts += x == i or not flags[x - 1]
                 else:
-                    kept.append(line[end:b])
-                end = b
+                    kept.append(line[end : ends[x] - begin])
+                end = ends[x] - begin
             out.append(b"".join(kept) + line[end:])
+        begin += len(line) + 1
     return b"\n".join(out), dropped, cuts
 
 
-def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", task_rows: int = TASK_ROWS, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES, hot: int = HOT) -> DataFrame:
     """``docs`` with every recurring passage left in one document alone, and n_lines, n_dropped (lines) and n_cut (cuts within lines) added (columns of
     these names are replaced).
 
-    Line templates are those of dedup_lines(); units_of() gives the other units. Documents are told apart by id and text, so exact copies are documents too,
-    and no document is exempt: a unit of two documents (lines under LONG tokens: of SHORT_ROWS) stays in the one of the smallest hash of id and text.
-    Rows of equal id and text are one document. Where a passage ends within a piece, border_units() finds how far it goes.
-    Copies of a text of LONG or more tokens lose all of it without a look at its units. A null text stays null, with
-    no lines. An empty table gives an empty one."""
+    The tree: a line goes by its token count and its first DEPTH tokens to a leaf; in a leaf, lines that differ in variable fields (tokens with a
+    digit) or within one of PARTS parts of the other tokens are one template. Sentences of SENTENCE or more tokens, equal but for fields, are templates of
+    their own. So are the grams of LONG tokens of a passage that lines do not show, as it stands within other lines or is wrapped in other ways: an anchor
+    that recurs leads to them, and where what follows or goes before it is not the same in all documents that have it, all grams up to REACH places on that
+    side are looked at. So LONG + REACH - 1 tokens in a row or more that two documents share are found to their last word; fewer, from LONG tokens on, if they
+    are whole lines or sentences or hold an anchor.
+
+    A template of two documents (lines under LONG tokens: of SHORT_ROWS) stays in the one of the smallest hash of id and text, there once. No document is
+    exempt: exact copies are documents too, and those of a text of LONG or more tokens lose all of it without a look at its units. Rows of equal
+    id and text are one document. Tokens of any length and texts of any length are taken whole, one text's tokens at a time. A null text stays null, with
+    no lines; an empty one is one line. An empty table gives an empty one. The last arguments are those of meet(), and the bytes of places that are broadcast."""
+    limits = {"task_rows": task_rows, "broadcast_rows": broadcast_rows, "hot": hot}
     docs = docs.drop("n_lines", "n_dropped", "n_cut")
+    bounded_batches(docs.sparkSession)
     key = F.xxhash64(F.col(doc_id), F.col(text))
     source = docs.select(F.col(doc_id).alias("doc_id"), key.alias("h"), F.xxhash64(F.col(text)).alias("whole"), F.col(text).alias("__text"))
     narrow = cut(source.where(F.col("__text").rlike(f"(?:\\S+\\s+){{{LONG - 1}}}\\S")).select("doc_id", "h", "whole"), 4)
-    texts = narrow.groupBy("whole").agg(F.min("h").alias("first"), F.max("h").alias("other")).where("first <> other")
-    copies = cut(narrow.join(texts, "whole").where("h <> first").select("doc_id", "h").distinct(), 4)
-    if copies.count() <= BROADCAST_TEMPLATES:
-        known = F.broadcast(copies.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")))
-        source = source.join(known, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")), "left_anti")
-    parsed = cut(parse_passages(source))
-    lines = parsed.select("doc_id", "h", F.lit(0).alias("words"), F.inline("lines"))
-    dropped = _gone(lines.drop("k0", "k1", "k2", "k3"), recurring_lines(lines.drop("words")))
-    found = cut(_met(_units(parsed), recurring_sentences(_units(parsed))), 4)
-    spans = cut(found.where(F.abs("n") >= LONG).groupBy("doc_id", "h").agg(F.collect_set(F.struct("place", F.abs("n").alias("n"))).alias("spans")), 4)
-    few = spans.count() <= BROADCAST_DOCS
-    spans = spans.withColumnsRenamed({"doc_id": "__id", "h": "__h"})
-    beside = source.join(F.broadcast(spans) if few else spans, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h")))
-    borders = _units(cut(parse_borders(beside)))
-    gone = dropped.unionByName(_lost(found)).unionByName(_lost(_met(borders, recurring_sentences(borders))))
-    docs.sparkSession.sparkContext._jvm.System.gc()  # Spark deletes the shuffles of the counts when their plans are collected; the texts are shuffled next
-    gone = gone.select("doc_id", "h", "place", "n").unionByName(copies.select("doc_id", "h", F.lit(0).cast("long").alias("place"), F.lit((1 << 31) - 1).alias("n")))
-    drops = gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_set(F.struct("place", "n")).alias("__gone"))
+    texts = cut(narrow.groupBy("whole").agg(F.min("h").alias("kept"), F.max("h").alias("other"), F.count("*").alias("uses")).where("kept <> other").drop("other"), 4)
+    copies = cut(meet(narrow, texts, "whole", **limits).where("h <> kept").select("doc_id", "h").distinct(), 4)
+    by_row = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h"))
+    if copies.count() <= broadcast_rows:
+        source = source.join(F.broadcast(copies.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))), by_row, "left_anti")
+    parsed = cut(parse(source))
+    lines = _rows(parsed, "lt", n=F.get("ln", F.col("i")), place=F.get("lp", F.col("i")))
+    keyed = _rows(parsed, "lt", n=F.get("ln", F.col("i")), **{f"k{k}": F.get("lk", F.col("i") * PARTS + k) for k in range(PARTS)}).where(F.abs("n") >= LONG)
+    gone = _lost(meet(lines, cut(recurring_lines(lines, keyed, **limits), 4), "t", **limits))
+    sentences = _rows(parsed, "st", n=F.get("sn", F.col("i")), place=F.get("sp", F.col("i")))
+    gone = cut(gone.unionByName(_lost(meet(sentences, cut(recurring(sentences), 4), "t", **limits))))
+    before = F.when(F.col("i") > 0, F.get("ar", F.col("i") - 1)).otherwise(0)
+    anchors = _rows(parsed, "at", place=F.get("ap", F.col("i")), way=F.get("aw", F.col("i")).cast("int"), after=F.get("ar", F.col("i")), before=before)
+    same = [((F.min(c) == F.max(c)) & (F.min(c) != 0)).alias(f"same_{c}") for c in ("before", "after")]
+    found = meet(anchors, cut(recurring(anchors, *same), 4), "t", **limits)
+    side = F.when(F.col("same_before"), 0).otherwise(1) + F.when(F.col("same_after"), 0).otherwise(2)
+    found = cut(found.select("doc_id", "h", "kept", "place", F.when(F.col("same_after"), F.col("way") + LONG).otherwise(LONG).alias("n"), side.alias("side")), 4)
+    asked = cut(found.where("side > 0").groupBy("doc_id", "h").agg(F.collect_set(F.col("place").cast("long") * 4 + F.col("side")).alias("asked")), 4)
+    size = asked.agg(F.coalesce(F.sum(F.size("asked") * 8 + 64), F.lit(0))).first()[0]
+    asked = asked.withColumnsRenamed({"doc_id": "__id", "h": "__h"})
+    beside = cut(parse_beside(source.join(F.broadcast(asked) if size <= broadcast_bytes else asked, by_row)))
+    grams = _rows(beside, "t", place=F.get("p", F.col("i")), n=F.lit(LONG))
+    gone = gone.unionByName(_lost(found)).unionByName(_lost(meet(grams, cut(recurring(grams), 4), "t", **limits)))
+    gone = gone.unionByName(copies.select("doc_id", "h", F.lit((1 << 31) - 1).cast("long").alias("gone")))
+    drops = cut(gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_list("gone").alias("__gone")), 4)
     joined = docs.join(drops, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[doc_id], docs[text]) == F.col("__h")), "left")
     schema = StructType([*docs.schema, *StructType.fromDDL("n_lines bigint, n_dropped bigint, n_cut bigint")])
-    at, size = docs.columns.index(text), len(docs.columns)
+    where, width = docs.columns.index(text), len(docs.columns)
     kind = _arrow(docs.schema[text].dataType.simpleString())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for body, places in zip(batch.column(at).cast(pa.binary()).to_pylist(), batch.column(size).to_pylist(), strict=True):
+            for body, places in zip(batch.column(where).cast(pa.binary()).to_pylist(), batch.column(width), strict=True):
                 n_lines = 0 if body is None else body.count(b"\n") + 1
-                made.append((n_lines, *((body, 0, 0) if places is None else without(body, [(p["place"], p["n"]) for p in places]))))
+                made.append((n_lines, *((body, 0, 0) if body is None or not places.is_valid else without(body, places.values.to_numpy()))))
             counts, bodies, dropped, cuts = zip(*made, strict=True) if made else [()] * 4
-            arrays = [batch.column(k) for k in range(size)]
-            arrays[at] = pa.array(bodies, pa.binary()).cast(kind)
+            arrays = [batch.column(k) for k in range(width)]
+            arrays[where] = pa.array(bodies, pa.binary()).cast(kind)
             yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(x, pa.int64()) for x in (counts, dropped, cuts))], names=schema.names)
 
     return joined.select(*docs.columns, "__gone").mapInArrow(run, schema)

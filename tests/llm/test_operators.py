@@ -186,90 +186,6 @@ def test_packing_is_whole_and_gapless(spark, odd, empty):
 # 4. lines
 
 
-def brute_lines(rows):
-    """Templates by pairs: equal after masking, or of one leaf and different in one part; joined by links. Then sentences."""
-    mask = lambda x: tuple(re.sub(r"\S*[0-9]\S*", "<*>", x).split())
-    lines = [(i, t, k, mask(x)) for i, t in rows if t is not None for k, x in enumerate(t.split("\n"))]
-    forms = sorted({f for *_, f in lines})
-    root = {f: f for f in forms}
-
-    def find(f):
-        while root[f] != f:
-            f = root[f]
-        return f
-
-    for x in forms:
-        for y in forms:
-            if x < y and len(x) == len(y) >= line_dedup.LONG and x[:3] == y[:3]:
-                n = len(x) - 3
-                at = [3 + n * k // 4 for k in range(5)]
-                if sum(x[at[k] : at[k + 1]] != y[at[k] : at[k + 1]] for k in range(4)) == 1:
-                    root[find(x)] = find(y)
-    gone = {}
-
-    def drop(units, key, recurs):
-        groups = {}
-        for u in units:
-            groups.setdefault(key(u), []).append(u)
-        for g in groups.values():
-            if len({t for _, t, *_ in g}) > 1 and recurs(g):
-                hashed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)  # noqa: E731  signed order
-                first, had = min((t for _, t, *_ in g), key=hashed), set()
-                for i, t, place, f in g:
-                    if t != first or (i, f) in had:
-                        gone[(i, place)] = len(f)
-                    had.add((i, f))
-
-    often = lambda g: len(g[0][3]) >= line_dedup.LONG or len({(i, f) for i, _, _, f in g}) >= line_dedup.SHORT_ROWS
-    drop([(i, t, (k, 0), f) for i, t, k, f in lines if len(f) >= 3], lambda u: find(u[3]), often)
-    cut = lambda x: re.split(r"(?<=[.!?…])(?=[ \t\r\x0b\x0c])", x)
-    pieces = [(i, t, (k, j), mask(p)) for i, t in rows if t is not None for k, x in enumerate(t.split("\n")) if len(cut(x)) > 1 for j, p in enumerate(cut(x), 1)]
-    drop([u for u in pieces if len(u[3]) >= line_dedup.SENTENCE], lambda u: u[3], lambda g: True)
-    out = {}
-    for i, t in rows:
-        own = {p: n for (d, p), n in gone.items() if d == i and (p[1] == 0 or (i, (p[0], 0)) not in gone)}
-        if t is not None and sum(own.values()) <= line_dedup.COPY_SHARE * len(t.split()):
-            t = "\n".join("".join(p for j, p in enumerate(cut(x), 1) if (k, j) not in own) for k, x in enumerate(t.split("\n")) if (k, 0) not in own)
-        out[i] = t
-    return out
-
-
-def test_line_dedup_against_brute_force(spark):
-    rng = random.Random(11)
-    word = lambda: rng.choice("alpha beta gamma delta epsilon zeta eta theta…".split())
-    shared = [" ".join(word() for _ in range(n)) for n in (14, 20, 55)] + ["Page 3 of the long report on the state of all the rivers here", "short line here"]
-    passage = ". ".join(" ".join(word() for _ in range(n)) for n in (9, 12, 4, 10)) + "."
-    rows = []
-    for i in range(40):
-        own = [" ".join(word() + rng.choice(["", "", "", ".", "!"]) for _ in range(rng.randrange(1, 26))) for _ in range(3)]
-        for s in rng.sample(shared, 2) if i % 5 else shared:
-            w = s.replace("3", str(i)).split()
-            if rng.random() < 0.4 and len(w) > 12:
-                w[rng.randrange(3, len(w))] = f"other{word()}"
-            own.insert(rng.randrange(3), " ".join(w))
-        if i % 3 == 0:
-            own.insert(1, f"{word()} {i}x {word()}. {passage}  {word()} tail {word()}")
-        rows.append((i, "\n".join(own)))
-    rows += [(100, None), (101, ""), (102, rows[3][1]), (103, rows[6][1] + " end")]
-    d = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got, want = {r.doc_id: r.text for r in line_dedup.dedup_lines(d).collect()}, brute_lines(rows)
-    assert {i: got[i] for i in want if got[i] != want[i]} == {}
-    assert got[103].endswith(" end") and got[102] == got[3] != rows[3][1] and sum(passage in t for t in got.values() if t) <= 2
-
-
-def test_line_dedup_odd_rows(spark, odd, empty):
-    out = line_dedup.dedup_lines(odd)
-    assert out.columns == [*odd.columns, "n_lines", "n_dropped", "n_cut"] and out.count() == 8 and out.where("n_dropped > 0").count() == 0
-    assert out.where("text is null").first().n_lines == 0
-    assert line_dedup.dedup_lines(empty).count() == 0
-    passage = " ".join(f"w{chr(97 + k % 26)}x" for k in range(60))
-    own = "these are own words of the second " * 5
-    texts = {7: f"first\n{passage}", 8: f"{passage}\n{own}", 9: passage, 10: f"{passage}\n{own}", 11: f"a {own}\n{passage}"}
-    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs(spark, *texts.items(), (9, passage))).collect()}
-    want = brute_lines(list(texts.items()))
-    assert got == want and got[8] == got[10] and got[7] == texts[7] and got[9] == passage and want[11] in (texts[11], f"a {own}")
-
-
 # 5. rules
 
 
