@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -47,10 +48,10 @@ def meet(rows: DataFrame, known: DataFrame, key: str, task_rows: int = TASK_ROWS
     If at most ``task_rows`` rows meet, the join is left to Spark."""
     total, n = known.agg(F.coalesce(F.sum("uses"), F.lit(0)), F.count("*")).first()
     plain = known.drop("uses")
-    if total <= task_rows:
-        return rows.join(plain, key)
     if n <= broadcast_rows:
         return rows.join(F.broadcast(plain), key)
+    if total <= task_rows:
+        return rows.join(plain, key)
     often = F.broadcast(known.where(F.col("uses") > total / hot).drop("uses"))
     rare = known.where(F.col("uses") <= total / hot).drop("uses")
     return rows.join(often, key).unionByName(rows.join(often.select(key), key, "left_anti").join(rare.hint("merge"), key))
@@ -65,6 +66,12 @@ def cut(df: DataFrame, tasks_a_core: int | None = None) -> DataFrame:
     return (df.coalesce(tasks_a_core * spark.sparkContext.defaultParallelism) if tasks_a_core else df).checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffles and checkpoints that no plan refers to any more; it does so only when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the rows and bytes that a Python worker holds at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

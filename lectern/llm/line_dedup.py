@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from typing import NamedTuple
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lectern.llm.common import BROADCAST_ROWS, HOT, TASK_ROWS, _arrow, bounded_batches, cut, meet
+from lectern.llm.common import BROADCAST_ROWS, HOT, TASK_ROWS, _arrow, bounded_batches, cut, meet, release
 from lectern.llm.simhash import components
 
 #: Leading tokens that, after the token count, lead to a leaf of the tree.
@@ -27,13 +26,14 @@ SENTENCE = 8
 REACH = 28
 #: Bytes of recurring places that are broadcast at most; more meet the texts in a shuffled join.
 BROADCAST_BYTES = 32 << 20
-#: Bytes of texts whose tokens are worked on at once.
-_GROUP = 1 << 20
+#: Bytes of texts whose tokens are worked on at once, or one longer text.
+_GROUP = 1 << 18
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SOLID = np.ones(256, np.int8)
+_SOLID[[9, 10, 11, 12, 13, 32]] = 0
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C1B
+_BACK = pow(_BASE, -1, 1 << 64)
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _FIELD, _LINE, _SENTENCE, _GRAM, _KEY = (np.uint64(x * 0xD6E8FEB86659FD93 & _MASK) for x in range(3, 8))
 
@@ -44,10 +44,32 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64))
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(n: int, base: int) -> np.ndarray:
-    steps = np.full(n, base & _MASK, np.uint64)
-    steps[0] = 1
-    return np.multiply.accumulate(steps)
+    """base ** 0 to base ** (n - 1); kept from one group of texts to the next, up to a bound."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        steps = np.full(max(n, 2 * _GROUP), base, np.uint64)
+        steps[0] = 1
+        have = np.multiply.accumulate(steps)
+        if len(have) <= 4 * _GROUP:
+            _POWERS[base] = have
+    return have[:n]
+
+
+def _sums(values: np.ndarray) -> np.ndarray:
+    """Sums of the values before each place, and of all, each value times its place's power."""
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(len(values), _BASE), out=out[1:])
+    return out
+
+
+def _between(sums: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What the values of places a to b add up to, wherever they stand."""
+    return (sums[b] - sums[a]) * _powers(len(sums), _BACK)[a]
 
 
 def _slide(least_or_most, x: np.ndarray, width: int) -> np.ndarray:
@@ -69,23 +91,31 @@ class Tokens:
     def __init__(self, bodies: list[bytes]) -> None:
         joined = b"\n".join(bodies)
         raw = np.frombuffer(joined, np.uint8)
-        solid = ~_SPACE[raw]
-        edge = np.diff(solid.view(np.int8), prepend=0, append=0)
+        solid = np.zeros(len(raw) + 2, np.int8)
+        solid[1:-1] = _SOLID[raw]
+        edge = solid[1:] - solid[:-1]
         self.first, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         n = len(self.first)
-        code = _mixed(np.fromiter(map(crc32, joined.split()), np.uint64, n) + np.uint64(_BASE))
-        code[np.searchsorted(self.first, np.flatnonzero((raw - np.uint8(48)) < 10), "right") - 1] = _FIELD
+        code = np.zeros(n, np.uint64)
+        steps = np.unique(np.searchsorted(self.first, np.arange(0, len(raw), 4 * _GROUP)))
+        for i, j in zip(steps.tolist(), [*steps[1:].tolist(), n], strict=True):  # long texts by parts, which begin with a token
+            if i < j:
+                begin = self.first[i]
+                code[i:j] = _between(_sums(_BYTE[raw[begin : self.end[j - 1]]]), self.first[i:j] - begin, self.end[i:j] - begin)
+        code = _mixed(code + (self.end - self.first).astype(np.uint64))
+        digits = np.flatnonzero((raw - np.uint8(48)) < 10)
+        if len(digits):
+            code[np.searchsorted(self.first, digits, "right") - 1] = _FIELD
         self.line = np.cumsum(raw == 10, dtype=np.int32)[self.first] if n else np.zeros(0, np.int32)
         self.at = np.searchsorted(self.first, np.cumsum([0, *(len(b) + 1 for b in bodies)]))
         last = raw[self.end - 1] if n else raw[:0]
         self.stop = (last == 46) | (last == 33) | (last == 63)
         if (last == 0xA6).any():
             self.stop |= (last == 0xA6) & (raw[self.end - 2] == 0x80) & (raw[self.end - 3] == 0xE2)
-        self._sum = np.concatenate((np.zeros(1, np.uint64), np.cumsum(code * _powers(n, _BASE), dtype=np.uint64))) if n else np.zeros(1, np.uint64)
-        self._back = _powers(n + 1, pow(_BASE, -1, 1 << 64))
+        self._sum = _sums(code)
 
     def hash(self, a: np.ndarray, b: np.ndarray, tag: np.uint64) -> np.ndarray:
-        return _mixed((self._sum[b] - self._sum[a]) * self._back[a] + _mixed((b - a).astype(np.uint64) + tag))
+        return _mixed(_between(self._sum, a, b) + _mixed((b - a).astype(np.uint64) + tag))
 
     def text_of(self, tokens: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.at, tokens, "right") - 1
@@ -259,22 +289,22 @@ def _spread() -> list[Column]:
     return [F.count("*").alias("uses"), F.min("h").alias("kept"), F.max("h").alias("other")]
 
 
-def recurring_lines(lines: DataFrame, keyed: DataFrame, **limits: int) -> DataFrame:
+def recurring_lines(lines: DataFrame, **limits: int) -> DataFrame:
     """(t, kept, uses): line templates that recur across documents, and the smallest hash of a document that has one.
 
     Equal lines are one row after a map-side combined count. Distinct lines meet by key in minima, not in pairs, and the links make components."""
-    distinct = cut(lines.groupBy("t").agg(*_spread(), F.count_if(F.col("n") > 0).alias("rows"), F.max("n").alias("n")), 4)
-    pairs = keyed.groupBy("t").agg(*(F.max(f"k{k}").alias(f"k{k}") for k in range(PARTS))).select("t", F.explode(F.array(*(f"k{k}" for k in range(PARTS)))).alias("key"))
-    pairs = cut(pairs, 4)
+    keys = [f"k{k}" for k in range(PARTS)]
+    distinct = cut(lines.groupBy("t").agg(*_spread(), F.count_if(F.col("n") > 0).alias("rows"), F.max("n").alias("n"), *(F.max(k).alias(k) for k in keys)), 4)
+    pairs = distinct.where(F.col("n") >= LONG).select("t", F.explode(F.array(*keys)).alias("key"))
     groups = cut(pairs.groupBy("key").agg(F.min("t").alias("m"), F.max("t").alias("x"), F.count("*").alias("uses")).where("m <> x").select("key", "m", "uses"), 4)
-    of = components(meet(pairs, groups, "key", **limits).where("t <> m").select(F.col("t").alias("u"), F.col("m").alias("v")).distinct())
-    rooted = cut(distinct.join(of.withColumnRenamed("node", "t"), "t", "left").withColumn("root", F.coalesce("root", "t")), 4)
-    total = rooted.groupBy("root").agg(F.sum("rows").alias("rows"), F.max("n").alias("n"), F.min("kept").alias("kept"), F.max("other").alias("other"), F.count("*").alias("forms"))
-    often = total.where((F.col("kept") != F.col("other")) & ((F.col("n") >= LONG) | (F.col("rows") >= SHORT_ROWS)))
-    alone = often.where("forms = 1").select(F.col("root").alias("t"), "kept")
-    several = cut(often.where("forms > 1").select("root", F.col("forms").alias("uses"), F.col("kept").alias("k")), 4)
-    members = meet(rooted.select("t", "root", "uses"), several, "root", **limits).select("t", F.col("k").alias("kept"), "uses")
-    return members.unionByName(distinct.select("t", "uses").join(alone, "t").select("t", "kept", "uses"))
+    of = cut(components(meet(pairs, groups, "key", **limits).where("t <> m").select(F.col("t").alias("u"), F.col("m").alias("v")).distinct()).select(F.col("node").alias("t"), "root", F.lit(1).alias("uses")), 4)
+    recurs = (F.col("kept") != F.col("other")) & ((F.col("n") >= LONG) | (F.col("rows") >= SHORT_ROWS))
+    alone = distinct.where(recurs).select("t", "kept", "uses").join(of, "t", "left_anti")
+    joined = cut(meet(distinct.drop(*keys), of, "t", **limits), 4)
+    total = joined.groupBy("root").agg(F.sum("rows").alias("rows"), F.max("n").alias("n"), F.min("kept").alias("kept"), F.max("other").alias("other"), F.count("*").alias("uses"))
+    often = cut(total.where(recurs).select("root", F.col("kept").alias("first"), "uses"), 4)
+    members = meet(joined.select("t", "root", F.col("uses").alias("times")), often, "root", **limits)
+    return alone.unionByName(members.select("t", F.col("first").alias("kept"), F.col("times").alias("uses")))
 
 
 def recurring(rows: DataFrame, *more: Column) -> DataFrame:
@@ -335,8 +365,9 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     id and text are one document. Tokens of any length and texts of any length are taken whole, one text's tokens at a time. A null text stays null, with
     no lines; an empty one is one line. An empty table gives an empty one. The last arguments are those of meet(), and the bytes of places that are broadcast."""
     limits = {"task_rows": task_rows, "broadcast_rows": broadcast_rows, "hot": hot}
+    spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped", "n_cut")
-    bounded_batches(docs.sparkSession)
+    bounded_batches(spark)
     key = F.xxhash64(F.col(doc_id), F.col(text))
     source = docs.select(F.col(doc_id).alias("doc_id"), key.alias("h"), F.xxhash64(F.col(text)).alias("whole"), F.col(text).alias("__text"))
     narrow = cut(source.where(F.col("__text").rlike(f"(?:\\S+\\s+){{{LONG - 1}}}\\S")).select("doc_id", "h", "whole"), 4)
@@ -346,17 +377,22 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if copies.count() <= broadcast_rows:
         source = source.join(F.broadcast(copies.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))), by_row, "left_anti")
     parsed = cut(parse(source))
-    lines = _rows(parsed, "lt", n=F.get("ln", F.col("i")), place=F.get("lp", F.col("i")))
-    keyed = _rows(parsed, "lt", n=F.get("ln", F.col("i")), **{f"k{k}": F.get("lk", F.col("i") * PARTS + k) for k in range(PARTS)}).where(F.abs("n") >= LONG)
-    gone = _lost(meet(lines, cut(recurring_lines(lines, keyed, **limits), 4), "t", **limits))
+    long = F.abs(F.get("ln", F.col("i"))) >= LONG
+    lines = _rows(parsed, "lt", n=F.get("ln", F.col("i")), place=F.get("lp", F.col("i")), **{f"k{k}": F.when(long, F.get("lk", F.col("i") * PARTS + k)) for k in range(PARTS)})
+    known = cut(recurring_lines(lines, **limits), 4)
+    release(spark)
+    gone = _lost(meet(lines, known, "t", **limits))
     sentences = _rows(parsed, "st", n=F.get("sn", F.col("i")), place=F.get("sp", F.col("i")))
     gone = cut(gone.unionByName(_lost(meet(sentences, cut(recurring(sentences), 4), "t", **limits))))
     before = F.when(F.col("i") > 0, F.get("ar", F.col("i") - 1)).otherwise(0)
     anchors = _rows(parsed, "at", place=F.get("ap", F.col("i")), way=F.get("aw", F.col("i")).cast("int"), after=F.get("ar", F.col("i")), before=before)
+    found = cut(meet(anchors, cut(recurring(anchors), 4), "t", **limits), 4)
+    del parsed, lines, sentences, anchors, known
+    release(spark)
     same = [((F.min(c) == F.max(c)) & (F.min(c) != 0)).alias(f"same_{c}") for c in ("before", "after")]
-    found = meet(anchors, cut(recurring(anchors, *same), 4), "t", **limits)
+    found = meet(found, cut(found.groupBy("t").agg(F.count("*").alias("uses"), *same), 4), "t", **limits)
     side = F.when(F.col("same_before"), 0).otherwise(1) + F.when(F.col("same_after"), 0).otherwise(2)
-    found = cut(found.select("doc_id", "h", "kept", "place", F.when(F.col("same_after"), F.col("way") + LONG).otherwise(LONG).alias("n"), side.alias("side")), 4)
+    found = found.select("doc_id", "h", "kept", "place", F.when(F.col("same_after"), F.col("way") + LONG).otherwise(LONG).alias("n"), side.alias("side"))
     asked = cut(found.where("side > 0").groupBy("doc_id", "h").agg(F.collect_set(F.col("place").cast("long") * 4 + F.col("side")).alias("asked")), 4)
     size = asked.agg(F.coalesce(F.sum(F.size("asked") * 8 + 64), F.lit(0))).first()[0]
     asked = asked.withColumnsRenamed({"doc_id": "__id", "h": "__h"})
@@ -365,7 +401,16 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     gone = gone.unionByName(_lost(found)).unionByName(_lost(meet(grams, cut(recurring(grams), 4), "t", **limits)))
     gone = gone.unionByName(copies.select("doc_id", "h", F.lit((1 << 31) - 1).cast("long").alias("gone")))
     drops = cut(gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_list("gone").alias("__gone")), 4)
-    joined = docs.join(drops, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[doc_id], docs[text]) == F.col("__h")), "left")
+    del gone, found, grams, beside, asked, source, copies
+    release(spark)
+    named = docs.withColumn("__key", F.xxhash64(docs[doc_id], docs[text]))
+    joined = named.join(drops, named[doc_id].eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left").drop("__key")
+    if drops.count() <= broadcast_rows:  # then texts that lose nothing stay where they are
+        hashes = F.broadcast(drops.select("__h").distinct())
+        moved = named.join(hashes, F.col("__key") == F.col("__h"), "left_semi")
+        joined = moved.join(drops, moved[doc_id].eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left").drop("__key")
+        stays = named.join(hashes, F.col("__key") == F.col("__h"), "left_anti").select(*docs.columns, F.lit(None).cast("array<bigint>").alias("__gone"))
+        joined = joined.select(*docs.columns, "__gone").unionByName(stays)
     schema = StructType([*docs.schema, *StructType.fromDDL("n_lines bigint, n_dropped bigint, n_cut bigint")])
     where, width = docs.columns.index(text), len(docs.columns)
     kind = _arrow(docs.schema[text].dataType.simpleString())

@@ -186,6 +186,122 @@ def test_packing_is_whole_and_gapless(spark, odd, empty):
 # 4. lines
 
 
+def words_like(rng, n):
+    return [rng.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho sigma tau".split()) + rng.choice(["", "", "", "", ".", "!", "…"]) for _ in range(n)]
+
+
+def masked(text):
+    return [["<*>" if re.search("[0-9]", w) else w for w in x.split()] for x in text.split("\n")]
+
+
+def brute_templates(rows):
+    """(row, first token, number) of what the tree of lines and sentences takes: templates by pairs; recurring ones stay first in the smallest hash's row."""
+    key = {i: (xxhash.xxh64_intdigest(t.encode(), xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42)) + (1 << 63)) % (1 << 64) for i, t in rows}
+    lines, sentences = [], []
+    for i, t in rows:
+        at = 0
+        for w in masked(t):
+            lines += [(i, at, tuple(w))] if len(w) >= 3 else []
+            first = 0
+            for k, x in enumerate(w):
+                if x[-1] in ".!?…" or k == len(w) - 1:
+                    sentences += [(i, at + first, tuple(w[first : k + 1]))] if k + 1 - first >= 8 else []
+                    first = k + 1
+            at += len(w)
+    forms = sorted({f for *_, f in lines})
+    root = {f: f for f in forms}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for x in forms:
+        for y in forms:
+            if x < y and len(x) == len(y) >= 12 and x[:3] == y[:3]:
+                cuts = [3 + (len(x) - 3) * k // 4 for k in range(5)]
+                if sum(x[cuts[k] : cuts[k + 1]] != y[cuts[k] : cuts[k + 1]] for k in range(4)) == 1:
+                    root[find(x)] = find(y)
+    gone = set()
+    for units, group, enough in ((lines, find, lambda g: len(g[0][2]) >= 12 or len({(i, f) for i, _, f in g}) >= 10), (sentences, lambda f: f, lambda g: True)):
+        groups = {}
+        for u in units:
+            groups.setdefault(group(u[2]), []).append(u)
+        for g in groups.values():
+            if len({i for i, *_ in g}) > 1 and enough(g):
+                keeper, had = min({i for i, *_ in g}, key=key.get), set()
+                for i, at, f in sorted(g):
+                    gone |= {(i, at, len(f))} if i != keeper or (i, f) in had else set()
+                    had.add((i, f))
+    return gone
+
+
+def brute_grams(rows):
+    """Tokens in runs of 12 that stand in two rows; and those that a run of 39 or more equal tokens of two rows holds."""
+    tokens = {i: [x for line in masked(t) for x in line] for i, t in rows}
+    seen = {}
+    for i, w in tokens.items():
+        for k in range(len(w) - 11):
+            seen.setdefault(tuple(w[k : k + 12]), set()).add(i)
+    may = {i: {p for k in range(len(w) - 11) if len(seen[tuple(w[k : k + 12])]) > 1 for p in range(k, k + 12)} for i, w in tokens.items()}
+    return tokens, may
+
+
+@pytest.mark.parametrize("limits", [{}, {"task_rows": 0, "broadcast_rows": 0, "broadcast_bytes": 0, "hot": 5}])
+def test_line_dedup_against_brute_force(spark, limits):
+    rng = random.Random(11)
+    shared = [" ".join(words_like(rng, n)) for n in (14, 20, 55)] + ["Page 3 of the long report on the state of all the rivers here", "short line here"]
+    rows = []
+    for i in range(40):
+        own = [" ".join(words_like(rng, rng.randrange(1, 26))) for _ in range(3)]
+        for s in rng.sample(shared, 2) if i % 5 else shared:
+            w = s.replace("3", str(i)).split()
+            if rng.random() < 0.4 and len(w) > 12:
+                w[rng.randrange(3, len(w))] = f"other{rng.choice(w)}"
+            own.insert(rng.randrange(3), " ".join(w))
+        rows.append((i, "\n".join(own)))
+    passage = words_like(rng, 70)
+    for i in range(40, 52):  # whole or in part, wrapped in several ways, within other words
+        a, b = rng.randrange(0, 16), rng.randrange(55, 71)
+        part = passage[a:b]
+        step = rng.choice([9, 17, 80])
+        wrapped = "\n".join(" ".join(part[k : k + step]) for k in range(0, len(part), step))
+        rows.append((i, f"{' '.join(words_like(rng, 20))} {wrapped} {' '.join(words_like(rng, 9))}\n{' '.join(words_like(rng, 5))}"))
+    got = {r.doc_id: r.text for r in line_dedup.dedup_passages(spark.createDataFrame(rows, "doc_id bigint, text string"), **limits).collect()}
+    tokens, may = brute_grams(rows)
+    units = brute_templates(rows)
+    for i, t in rows:
+        take = {p for d, at, n in units if d == i for p in range(at, at + n)}
+        raw, left = t.split(), got[i].split()
+        ways = {0}  # numbers of tokens left so far, over all ways to take out what must go and nothing but what may
+        for p, word in enumerate(raw):
+            ways = (ways if p in take | may[i] else set()) | {q + 1 for q in ways if p not in take and q < len(left) and left[q] == word}
+        assert len(left) in ways, i
+    whole = [" ".join(passage[k : k + 39]) for k in range(len(passage) - 38)]
+    assert all(sum(w in " ".join(t.split()) for t in got.values()) <= 1 for w in whole)
+
+
+def test_line_dedup_odd_rows(spark, odd, empty):
+    out = line_dedup.dedup_passages(odd.withColumns({"n_lines": F.lit("x"), "__gone": F.lit(7)}).drop("__gone"))
+    assert out.columns == [*odd.columns, "n_lines", "n_dropped", "n_cut"] and out.count() == 8 and out.where("n_dropped + n_cut > 0").count() == 0
+    assert out.where("text is null").first().n_lines == 0 and {(r.doc_id, r.text) for r in out.collect()} == {(r.doc_id, r.text) for r in odd.collect()}
+    assert line_dedup.dedup_passages(empty).count() == 0
+
+
+def test_tokens_and_hashes_against_plain_ones():
+    rng = random.Random(12)
+    bodies = ["".join(rng.choice(["a", "é", "b7", " ", "\n", "\t", ". ", "…", " x", "漢"]) for _ in range(rng.randrange(0, 60))).encode() for _ in range(40)] + [b"", b"x" * 900_000 + b" y z " * 200_000]
+    tokens = line_dedup.Tokens(bodies)
+    plain = [w for b in bodies for w in b.split()]
+    assert np.diff(tokens.at).tolist() == [len(b.split()) for b in bodies] and tokens.stop.tolist() == [w.endswith((b".", b"!", b"?", "…".encode())) for w in plain]
+    at = np.arange(len(plain))
+    codes = tokens.hash(at, at + 1, np.uint64(0)).tolist()
+    mask = [b"<*>" if re.search(rb"[0-9]", w) else w for w in plain]
+    assert len(set(zip(codes, mask, strict=True))) == len(set(codes)) == len(set(mask))
+    a, b = line_dedup.Tokens([b"x y one two three"]), line_dedup.Tokens([b"one  two\nthree z"])
+    assert a.hash(np.array([2]), np.array([5]), np.uint64(1)) == b.hash(np.array([0]), np.array([3]), np.uint64(1)) != b.hash(np.array([1]), np.array([4]), np.uint64(1))
+
+
 # 5. rules
 
 
