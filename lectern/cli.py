@@ -43,7 +43,9 @@ def main(args: list[str]) -> int:
         for r in report.where("status = 'failed'").select("name", "error").toLocalIterator():
             print(f"{r['name']}: {r['error']}", file=sys.stderr)
         print(", ".join(f"{r['status']}: {r['n']}" for r in report.groupBy("status").count().withColumnRenamed("count", "n").orderBy("status").collect()) or "nothing to do")
-        return stages.exit_code(stage, report, own.get("strict", "").lower() == "true")
+        code = stages.exit_code(stage, report, own.get("strict", "").lower() == "true")
+        stages.clean(session(), getattr(settings, "manifest", None) or settings.dst)
+        return code
     except (OSError, ValueError, KeyError) as e:
         print(e, file=sys.stderr)
         return 1

@@ -22,6 +22,7 @@ ENGLISH_TAIL = ("flow", "vibe", "groove")
 ANCHORS = ("кагами", r"практика\s+контемпорари", r"двигательной\s+импровизации")
 LIST_HEADS = ("термины", "вытяжени[ея]")
 TOPICS_HEADING = "## Затронутые темы"
+EVIDENCE_MARKS, EVIDENCE_PLAIN, EVIDENCE_DROPPED = "«»“”‘’–—", "\"\"\"\"''--", "*_`"
 NO_TOPICS = "Нет выделенных тем."
 
 #: The white space of Unicode text processing, for Java patterns: 29 characters, more than Java's own class.
@@ -168,7 +169,7 @@ def casefold(x: pd.Series) -> pd.Series:
 
 def fold_marks(x: Column) -> Column:
     """Quotation marks and dashes in one form, without Markdown emphasis, white space squeezed and stripped; for composed text."""
-    plain = F.translate(x, "«»“”‘’–—*_`", "\"\"\"\"''--")
+    plain = F.translate(x, EVIDENCE_MARKS + EVIDENCE_DROPPED, EVIDENCE_PLAIN)
     return strip(F.regexp_replace(plain, SPACE + "+", " "))
 
 
@@ -176,6 +177,12 @@ def normalize_evidence(x: Column) -> Column:
     return fold_marks(nfc(x))
 
 
+def plain_evidence(text: str) -> str:
+    """normalize_evidence() of one text, where an answer is looked at outside a DataFrame."""
+    table = str.maketrans(EVIDENCE_MARKS, EVIDENCE_PLAIN, EVIDENCE_DROPPED)
+    return " ".join(unicodedata.normalize("NFC", text).translate(table).split())
+
+
 def without_topics(x: Column) -> Column:
     """Without the topic section, which reaches to the end; a text that has one ends in one newline."""
     cut = F.regexp_replace(x, rf"(?s)\n*{TOPICS_HEADING}:?{SPACE}*\n.*\z", "")

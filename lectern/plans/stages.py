@@ -17,7 +17,7 @@ from lectern.functions.ngrams import collapse_repeated_ngrams
 from lectern.operators import clips as C
 from lectern.operators import corpus as O
 from lectern.operators.export import check_inputs, export_files, with_stem
-from lectern.operators.topics import check_topics, topic_names
+from lectern.operators.topics import accepted, assignment_faults, topic_faults, topic_names
 from lectern.providers import Provider, classify, request_object
 from lectern.sources import config
 from lectern.sources import files as S
@@ -143,40 +143,56 @@ def preprocessed(text: Column, cfg: config.Preprocess) -> Column:
     return words
 
 
+def cleaned_body(text: Column, cfg: config.Preprocess) -> Column:
+    """The text of an output: null where cleaning leaves no token, and so no output; empty where only the later steps leave none."""
+    return F.when(F.size(X.tokens(X.clean_text(text))) > 0, F.array_join(preprocessed(text, cfg), " "))
+
+
 def preprocess(spark: SparkSession, cfg: config.Preprocess) -> DataFrame:
     todo, skipped = _todo(spark, cfg.src, cfg.dst, ".txt", ".txt")
     read = S.read_texts(todo.select("name", "path", "is_dir", "is_link", "size"))
     readable = F.col("status") == "readable"
-    some = F.size(X.tokens(X.clean_text(F.col("text")))) > 0
-    body = F.when(readable & some, F.array_join(preprocessed(F.coalesce("text", F.lit("")), cfg), " "))
+    body = F.when(readable, cleaned_body(F.coalesce("text", F.lit("")), cfg))
     results = _kept(spark, read.select("name", body.alias("body"), F.when(readable, "succeeded").otherwise("failed").alias("status"), "error"), cfg.dst)
     return _finish(results, skipped, cfg.dst, F.col("name"))
 
 
+def _completed(provider: Provider, system: str, text: str, max_tokens: int) -> str:
+    status, answer = provider.complete(system, text, max_tokens)
+    if status != "completed":
+        raise RuntimeError(f"the answer is {status}")
+    return answer
+
+
 def summarize(spark: SparkSession, cfg: config.Summarize, provider: Provider) -> DataFrame:
-    """Map: a summary for each text without one. Statistics over all readable texts. Reduce: one digest, if there is none."""
+    """Map: a summary for each text without one. Statistics over all readable texts. Reduce: one digest, if there is none.
+
+    A summary is written as its answer comes, so a stopped run pays for no answer twice. A digest whose answer is not complete is a failed row."""
     S.require_directory(spark, cfg.src)
-    texts = S.read_texts(S.list_directory(spark, cfg.src, ".txt").where("NOT is_dir"))
+    listing = S.list_directory(spark, cfg.src, ".txt").where("NOT is_dir")
     there = S.list_directory(spark, cfg.dst) if _exists(spark, cfg.dst) and not cfg.refresh else spark.createDataFrame([], S.LISTING)
-    readable = texts.where("status = 'readable'")
+    counted = _kept(spark, S.read_texts(listing).select("name", "status", "error", X.word_count(F.col("text")).alias("words")), cfg.dst)
+    readable = counted.where("status = 'readable'")
+    dst, refresh, limit = cfg.dst.rstrip("/"), cfg.refresh, cfg.map_max_tokens
 
-    def work(r) -> str:
-        status, text = provider.complete(MAP_PROMPT, f"Transcript:\n\n{r.text}", cfg.map_max_tokens)
-        if status != "completed":
-            raise RuntimeError(f"the answer is {status}")
-        return text
-
-    results = _kept(spark, each(O.pending(readable, there), work), cfg.dst)
-    unread = texts.where("status = 'failed'").select("name", F.lit(None).cast("string").alias("body"), "status", "error")
-    skipped = readable.join(there.select("name"), "name", "left_semi").select("name", F.lit(None).cast("string").alias("body"), F.lit("skipped").alias("status"), "error")
-    report = _finish(results.unionByName(unread), skipped, cfg.dst, F.col("name"))
-    stats = O.corpus_stats(readable, cfg.words_per_minute).first()
+    def work(r) -> None:
+        if refresh or not S.exists(f"{dst}/{r.name}"):  # a repeated task finds what its first try has written
+            S.write_file(f"{dst}/{r.name}", _completed(provider, MAP_PROMPT, f"Transcript:\n\n{r.text}", limit))
+
+    pending = O.pending(readable.select("name"), there)
+    results = _kept(spark, each(S.read_texts(listing.join(pending, "name", "left_semi")), work), cfg.dst).select("name", "status", "error")
+    skipped = readable.join(there.select("name"), "name", "left_semi").select("name", F.lit("skipped").alias("status"), "error")
+    report = results.unionByName(counted.where("status = 'failed'").drop("words")).unionByName(skipped)
+    stats = O.totals(readable, F.col("words"), cfg.words_per_minute).first()
     if stats is None:
         return report
     if cfg.refresh or not _exists(spark, cfg.digest):
         digests = S.read_texts(S.list_directory(spark, cfg.dst, ".txt").where("NOT is_dir")).where("status = 'readable'")
         prompt = O.digest_prompt(digests, text="text").select("prompt", "n_digests", O.metadata_lines(F.lit(stats.num_files), F.lit(stats.avg_words), F.lit(stats.words_per_minute)).alias("about")).first()
-        S.write_file(cfg.digest, provider.complete(REDUCE_PROMPT, f"{prompt.n_digests} digests\n{prompt.prompt}\n\n{prompt.about}", cfg.reduce_max_tokens)[1])
+        try:
+            S.write_file(cfg.digest, _completed(provider, REDUCE_PROMPT, f"{prompt.n_digests} digests\n{prompt.prompt}\n\n{prompt.about}", cfg.reduce_max_tokens))
+        except RuntimeError as e:
+            report = report.unionByName(spark.createDataFrame([(cfg.digest, "failed", f"{type(e).__name__}: {e}")], "name string, status string, error string"))
     S.write_file(cfg.stats, json.dumps({"num_files": stats.num_files, "avg_words": stats.avg_words, "words_per_minute": stats.words_per_minute}, indent=2))
     return report
 
@@ -201,11 +217,11 @@ def export(spark: SparkSession, cfg: config.Export) -> DataFrame:
 
 
 def corpus_fingerprint(spark: SparkSession, cfg: config.Distribute, digest: str) -> str:
-    """Changes with the digest, the prompts, the limits and any file of a class; not with topic sections or files beside the classes."""
+    """Changes with the digest, the model, the prompts, the limits and any file of a class; not with topic sections or files beside the classes."""
     found = S.snapshot(spark, cfg.src).where(F.contains("rel_path", F.lit("/")) & F.col("is_file"))
     body = F.when(F.col("rel_path").endswith("/summary.md"), X.without_topics(F.col("content").cast("string")).cast("binary")).otherwise(F.col("content"))
     marked = found.select("rel_path", F.concat(F.sha2(F.col("rel_path").cast("binary"), 256), F.sha2(body, 256)).alias("body"))
-    about = json.dumps([digest, TOPICS_PROMPT, CLASSIFY_PROMPT, cfg.topics_max_tokens, cfg.classify_max_tokens])
+    about = json.dumps([digest, cfg.model, TOPICS_PROMPT, CLASSIFY_PROMPT, cfg.topics_max_tokens, cfg.classify_max_tokens])
     row = O.fingerprint(marked, "rel_path", "body").select(F.sha2(F.concat(F.lit(about), "fingerprint").cast("binary"), 256).alias("f")).first()
     return row.f
 
@@ -213,7 +229,8 @@ def corpus_fingerprint(spark: SparkSession, cfg: config.Distribute, digest: str)
 def distribute(spark: SparkSession, cfg: config.Distribute, provider: Provider) -> DataFrame:
     """Topics once for the corpus, an assignment for each class without one, and a topic section in each summary.
 
-    The manifest is written before any summary is changed, so a stopped run goes on where it stopped."""
+    The manifest is written before any summary is changed. Each class's answer is a file of its own beside the manifest as soon as it comes, and is read by the
+    next run, so a stopped run pays for no answer twice; the manifest gets them all at the end."""
     S.require_directory(spark, cfg.src)
     classes = S.reject_links(S.list_directory(spark, cfg.src)).where("is_dir").select(F.col("name").alias("class"))
     if classes.isEmpty():
@@ -229,31 +246,38 @@ def distribute(spark: SparkSession, cfg: config.Distribute, provider: Provider)
         manifest = json.loads(S.read_one(spark, cfg.manifest))
         if manifest.get("fingerprint") != mark:
             raise ValueError("the manifest belongs to another corpus")
-        topics = check_topics(manifest["topics"])
+        topics = accepted(manifest["topics"], topic_faults(manifest["topics"]))
     else:
         texts = {r["class"]: r["summary"] for r in summaries.select("class", "summary").orderBy("class").toLocalIterator()}
-        topics = check_topics(request_object(provider, TOPICS_PROMPT, {"corpus_digest": digest, "class_summaries": texts}, cfg.topics_max_tokens).get("topics"))
+        topics = request_object(provider, TOPICS_PROMPT, {"corpus_digest": digest, "class_summaries": texts}, cfg.topics_max_tokens).get("topics")
+        topics = accepted(topics, topic_faults(topics))
         manifest = {"fingerprint": mark, "topics": topics, "classes": {}}
         S.write_file(cfg.manifest, json.dumps(manifest, ensure_ascii=False, indent=2) + "\n")
+    answers = f"{cfg.manifest}.answers/{mark}"
     done = spark.createDataFrame([(k, json.dumps(v, ensure_ascii=False)) for k, v in manifest["classes"].items()], "class string, saved string")
+    if _exists(spark, answers):
+        own = S.read_texts(S.list_directory(spark, answers, ".json")).select(X.with_suffix(F.col("name"), ".json", "").alias("class"), F.col("text").alias("saved"))
+        done = done.unionByName(O.pending(own, done, "class"))
     ids, limit = {t["id"] for t in topics}, cfg.classify_max_tokens
     asked = summaries.join(done, "class", "left").withColumn("passages", X.passages(F.col("summary")))
 
     def work(r) -> str:
-        from lectern.operators.topics import check_assignment
-
         if r.saved is not None:
-            return json.dumps(check_assignment(json.loads(r.saved), ids, r.summary), ensure_ascii=False)
+            saved = json.loads(r.saved)
+            return json.dumps(accepted(saved, assignment_faults(saved, ids, r.summary)), ensure_ascii=False)
         passages = {p["id"]: p["text"] for p in r.passages}
         payload = {"corpus_digest": digest, "topics": topics, "class_summary": r.summary}
-        return json.dumps(classify(provider, CLASSIFY_PROMPT, payload, ids, r.summary, passages, limit), ensure_ascii=False)
+        found = json.dumps(classify(provider, CLASSIFY_PROMPT, payload, ids, r.summary, passages, limit), ensure_ascii=False)
+        S.write_file(f"{answers}/{r.name}.json", found)
+        return found
 
     if cfg.failed_only:
-        asked = asked.where("saved IS NULL")
+        asked = asked.where(F.col("saved").isNull() | ~F.col("class").isin(*manifest["classes"]))
     results = _kept(spark, each(asked.select(F.col("class").alias("name"), "summary", "saved", "passages"), work), cfg.manifest)
     for r in results.where("status = 'succeeded'").orderBy("name").toLocalIterator():
         manifest["classes"].setdefault(r["name"], json.loads(r["body"]))
     S.write_file(cfg.manifest, json.dumps(manifest, ensure_ascii=False, indent=2) + "\n")
+    S.remove(spark, f"{cfg.manifest}.answers")
     shape = "struct<assignments:array<struct<topic_id:string>>>"
     rows = results.where("status = 'succeeded'").select(F.col("name").alias("class"), F.posexplode_outer(F.from_json("body", shape)["assignments"]).alias("pos", "a")).select("class", "pos", "a.topic_id")
     names = topic_names(rows.where("topic_id IS NOT NULL"), spark.createDataFrame([(t["id"], t["name"]) for t in topics], "id string, name string"))
@@ -263,6 +287,11 @@ def distribute(spark: SparkSession, cfg: config.Distribute, provider: Provider)
     return results.select("name", "status", "error")
 
 
+def clean(spark: SparkSession, dst: str) -> None:
+    """Remove the tables that runs have kept beside ``dst``; their reports can't be read any more."""
+    S.remove(spark, f"{dst.rstrip('/')}.work")
+
+
 def exit_code(stage: str, report: DataFrame, strict: bool = False) -> int:
     """1 for failed records of the last stage, or of any stage when strict."""
     return int((strict or stage == "distribute") and not report.where("status = 'failed'").isEmpty())

@@ -7,7 +7,7 @@ import json
 from collections.abc import Callable
 from typing import Any, Protocol
 
-from lectern.operators.topics import check_assignment
+from lectern.operators.topics import accepted, assignment_faults
 
 
 class Provider(Protocol):
@@ -29,22 +29,39 @@ def request_object(provider: Provider, system: str, payload: dict, max_tokens: i
     return found
 
 
+def with_evidence(answer: dict, passages: dict[str, str]) -> dict:
+    """The answer with the passage that each assignment's evidence_id names as its evidence; none where it names none."""
+    given = answer.get("assignments")
+    if not isinstance(given, list):
+        return answer
+
+    def passage(a: dict) -> str | None:
+        ident = a.get("evidence_id")
+        return passages.get(ident) if isinstance(ident, str) else None
+
+    return answer | {"assignments": [a | {"evidence": passage(a)} if isinstance(a, dict) else a for a in given]}
+
+
+def corrected(request: Callable[[dict], dict], judge: Callable[[dict], tuple[dict, list[str]]], attempts: int = 3) -> dict:
+    """The first answer that ``judge`` finds no fault with; each faulty one goes back with its faults. What ``request`` itself raises is not retried."""
+    faults, said = [], {}
+    for _ in range(attempts):
+        answer = request(said)
+        found, faults = judge(answer)
+        if not faults:
+            return found
+        said = {"previous_response": answer, "correction_request": "; ".join(faults)}
+    return accepted(None, faults)
+
+
 def classify(provider: Provider, system: str, payload: dict, topic_ids: set[str], summary: str, passages: dict[str, str], max_tokens: int, attempts: int = 3) -> dict:
-    """Ask up to ``attempts`` times: a broken rule goes back with the answer; errors of the request itself are not retried."""
-    asked = dict(payload, evidence_passages=passages)
-    for left in range(attempts - 1, -1, -1):
-        answer = request_object(provider, system, asked, max_tokens)
-        try:
-            for a in answer.get("assignments") or []:
-                if a.get("evidence_id") not in passages:
-                    raise ValueError(f"unknown evidence_id: {a.get('evidence_id')}")
-                a["evidence"] = passages[a["evidence_id"]]
-            return check_assignment(answer, topic_ids, summary)
-        except (ValueError, TypeError, AttributeError) as e:
-            if not left:
-                raise ValueError(str(e)) from e
-            asked = dict(payload, evidence_passages=passages, previous_response=answer, correction_request=str(e))
-    raise AssertionError
+    """The assignments of one class, by passages of its summary."""
+
+    def judge(answer: dict) -> tuple[dict, list[str]]:
+        found = with_evidence(answer, passages)
+        return found, assignment_faults(found, topic_ids, summary)
+
+    return corrected(lambda said: request_object(provider, system, payload | {"evidence_passages": passages} | said, max_tokens), judge, attempts)
 
 
 class Deterministic:

@@ -59,6 +59,7 @@ class Distribute:
     src: str = "data/corpus_markdown"
     digest: str = "data/corpus_markdown/corpus_digest.md"
     manifest: str = "data/topics_manifest.json"
+    model: str = ""
     topics_max_tokens: int = 8192
     classify_max_tokens: int = 2048
     failed_only: bool = False

@@ -46,18 +46,39 @@ def _is_link(spark: SparkSession, status) -> bool:
 def list_directory(spark: SparkSession, path: str, suffix: str = "", recursive: bool = False) -> DataFrame:
     """(name, path, is_dir, is_link, size), sorted by path components. Hidden and empty files are listed too, which Spark's own readers skip.
 
-    Names only are gathered on the driver, as by any file source; ``name`` is relative to ``path``."""
+    The driver lists ``path`` alone; when ``recursive``, tasks list what its folders hold. ``name`` is relative to ``path``."""
     place, fs = _fs(spark, path)
     root = fs.getFileStatus(place).getPath().toString().rstrip("/") + "/"
-    rows, todo = [], [place]
-    while todo:
-        for status in fs.listStatus(todo.pop()):
-            full = status.getPath().toString()
-            rows.append((full[len(root) :], full, status.isDirectory(), _is_link(spark, status), status.getLen()))
-            if recursive and status.isDirectory() and not rows[-1][3]:
-                todo.append(status.getPath())
-    rows = sorted((r for r in rows if r[0].endswith(suffix)), key=lambda r: r[0].split("/"))
-    return spark.createDataFrame(rows, LISTING)
+    rows = []
+    for status in fs.listStatus(place):
+        full = status.getPath().toString()
+        rows.append((full[len(root) :], full, status.isDirectory(), _is_link(spark, status), 0 if status.isDirectory() else status.getLen()))
+    top = spark.createDataFrame(sorted((r for r in rows if recursive or r[0].endswith(suffix)), key=lambda r: r[0]), LISTING)
+    if not recursive:
+        return top
+    folders = top.where("is_dir AND NOT is_link")
+    below = folders.repartition(max(1, min(len(rows), 4 * spark.sparkContext.defaultParallelism))).mapInPandas(_below, LISTING)
+    found = top.unionByName(below)
+    return (found.where(F.col("name").endswith(suffix)) if suffix else found).orderBy(F.split("name", "/"))
+
+
+def _below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What the folders of a listing hold, at any depth; links are listed and not followed."""
+    from pyarrow import fs
+
+    for batch in batches:
+        for folder in batch.itertuples(index=False):
+            system, inner = open_system(folder.path)
+            local, todo = isinstance(system, fs.LocalFileSystem), [inner]
+            while todo:
+                rows = []
+                for found in system.get_file_info(fs.FileSelector(todo.pop())):
+                    is_dir, is_link = found.type == fs.FileType.Directory, local and os.path.islink(found.path)
+                    if is_dir and not is_link:
+                        todo.append(found.path)
+                    end = found.path[len(inner) :]
+                    rows.append((folder.name + end, folder.path.rstrip("/") + end, is_dir, is_link, 0 if is_dir else found.size))
+                yield pd.DataFrame(rows, columns=["name", "path", "is_dir", "is_link", "size"]).astype({"is_dir": bool, "is_link": bool, "size": "int64"})
 
 
 def reject_links(listing: DataFrame) -> DataFrame:
@@ -66,17 +87,20 @@ def reject_links(listing: DataFrame) -> DataFrame:
     return listing
 
 
-def read_files(listing: DataFrame) -> DataFrame:
-    """``listing`` with ``content``; each file is opened once, in the tasks, through Arrow's file systems."""
+def read_files(listing: DataFrame, batch_bytes: int = 16 << 20) -> DataFrame:
+    """``listing`` with ``content``; each file is opened once, in the tasks, through Arrow's file systems. A task holds one file, or ``batch_bytes`` of them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for path in batch["path"]:
+            held, size, begin = [], 0, 0
+            for k, path in enumerate(batch["path"], 1):
                 system, inner = open_system(path)
                 with system.open_input_stream(inner) as f:
-                    out.append(f.read())
-            yield batch.assign(content=out)
+                    held.append(f.read())
+                size += len(held[-1])
+                if size >= batch_bytes or k == len(batch):
+                    yield batch.iloc[begin:k].assign(content=held)
+                    held, size, begin = [], 0, k
 
     schema = T.StructType([*listing.schema, T.StructField("content", T.BinaryType())])
     files = listing.where("NOT is_dir")
@@ -115,6 +139,19 @@ def _write(path: str, body: str) -> None:
     system.move(made, inner)
 
 
+def exists(path: str) -> bool:
+    from pyarrow import fs
+
+    system, inner = open_system(path)
+    return system.get_file_info(inner).type != fs.FileType.NotFound
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A file or folder and all in it, if it is there."""
+    place, fs = _fs(spark, path)
+    fs.delete(place, True)
+
+
 def write_file(path: str, body: str) -> None:
     """A whole new file, moved into place at once."""
     _write(path, body)
