@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -16,6 +17,9 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from lectern.llm.common import bounded_batches, cut
 
 LIMIT, END_ID = 1024, 2
+#: White-space characters in a row that the fast tokenizer is given at most; it fails on about 1,000,800.
+LONGEST_BLANK = 100_000
+_BLANK = re.compile(r"\s+")
 #: Rows that share a length are numbered in shares of about so many rows, so no length is one task's work.
 ROWS_A_SHARE = 10_000
 #: Nodes that the branch-and-bound search may visit after its incumbent; a search that ends there keeps its best packing, which holds every piece.
@@ -27,14 +31,30 @@ WIDTH, LOOKS = 3, 300
 
 
 def encoder(vocabulary: str | None = None):
-    """The byte-level BPE of ``vocabulary`` (ranks); its ids are those of the same vocabulary's JSON under `tokenizers`. Control strings are ordinary text."""
+    """The byte-level BPE of ``vocabulary`` (ranks); its ids are those of the same vocabulary's JSON under `tokenizers`. Control strings are ordinary text.
+
+    tiktoken's pattern fails on runs of about a million white-space characters. So a text with a run of over LONGEST_BLANK goes to `tokenizers`, which is
+    slower, takes any run, and gives the same ids."""
     import public_tokenizers
     import tiktoken
 
     path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    slow = []
+
+    def encode(text: str) -> list[int]:
+        if len(text) <= LONGEST_BLANK or all(m.end() - m.start() <= LONGEST_BLANK for m in _BLANK.finditer(text)):
+            return fast(text)
+        if not slow:
+            from tokenizers import Tokenizer
+
+            slow.append(Tokenizer.from_file(path.removesuffix(".tiktoken") + ".json"))
+            slow[0].encode_special_tokens = True
+        return slow[0].encode(text, add_special_tokens=False).ids
+
+    return encode
 
 
 def pieces_of(n: int, limit: int) -> list[tuple[int, int]]:
@@ -270,17 +290,18 @@ def layout(patterns: list[Pattern]) -> dict[int, tuple[np.ndarray, ...]]:
     return {x: tuple(np.array(c, np.int64) for c in zip(*rows, strict=True)) for x, rows in by.items()}
 
 
-def assign(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
+def assign(pieces: DataFrame, limit: int = LIMIT, rows_a_share: int = ROWS_A_SHARE) -> DataFrame:
     """``pieces`` (any columns, with ``doc_id``, ``piece``, ``start``, ``length`` and ``ids_crc32``) with sequence_id and offset added.
 
-    The driver sees a histogram of at most ``limit`` lengths. Pieces are numbered within their length: by shares of a hash, each share's first number
-    being the sum of the shares before it; then the number gives the sequence. The rows move once, hashed by length and share."""
+    The driver sees a histogram of at most ``limit`` lengths. Pieces are numbered within their length: by shares of a hash, about one for each
+    ``rows_a_share`` of the length's rows, each share's first number being the sum of the shares before it; then the number gives the sequence. The rows move
+    once, hashed by length and share. Columns that begin with two underscores are the operator's own."""
     columns = pieces.columns
-    pieces = cut(pieces.withColumn("__h", F.xxhash64("doc_id", "piece", "start", "ids_crc32")))
-    shares = max(1, pieces.count() // ROWS_A_SHARE)
-    pieces = pieces.withColumn("__share", F.pmod("__h", F.lit(shares)).cast("int"))
+    pieces = cut(pieces.withColumn("__h", F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.monotonically_increasing_id())))  # equal rows have shares of their own
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    shares = pieces.sparkSession.createDataFrame([(x, -(-n // rows_a_share)) for x, n in counts.items()], "length bigint, __shares bigint")  # at most ``limit`` rows
+    pieces = pieces.join(F.broadcast(shares), "length").withColumn("__share", F.pmod("__h", "__shares")).drop("__shares")
     sizes = cut(pieces.groupBy("length", "__share").agg(F.count("*").alias("__n")), 4)
-    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("__n").alias("n")).collect()}
     table = layout(bin_completion(counts, limit))
     before = Window.partitionBy("length").orderBy("__share").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("length", "__share", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import chat_format, decontaminate, html_extract, license_scan, line_dedup, packing, quality_classifier, quality_rules, simhash, toxicity
 from lectern.llm.common import repeated_words, text_stats
+from tests.conftest import DATA
 
 DOCS = "doc_id bigint, text string, lang string, source string, score double, fingerprint string, n_words int, h int, place int"
 LONG = "slow words make a very long text " * 3000
@@ -116,6 +118,28 @@ def test_ids_are_those_of_tokenizers():
         assert encode(text) == t.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_long_blank_runs():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    encode = packing.encoder()
+    for text in (" " * 2_000_000 + "x", "a" + "\n" * 2_000_000, "b c" + " \u00a0" * 60_000 + "<|endoftext|>", "\n" * packing.LONGEST_BLANK + "x"):
+        assert encode(text) == t.encode(text, add_special_tokens=False).ids
+
+
+def test_shares_of_a_length_and_repeated_rows(spark):
+    d = spark.range(600).select((F.col("id") % 3).alias("doc_id"), F.lit("the same short text").alias("text")).union(spark.createDataFrame([(9, "another " * 700)], "doc_id bigint, text string"))
+    got = packing.assign(packing.tokenize(d), rows_a_share=7).collect()
+    places = sorted((r.sequence_id, r.offset, r.length) for r in got)
+    ends = {}
+    for s, o, n in places:
+        assert o == ends.get(s, 0)
+        ends[s] = o + n
+    assert len(got) == len(set((s, o) for s, o, _ in places)) and max(ends.values()) <= 1024 and len(ends) == -(-sum(n for *_, n in places) // 1024)
+
+
 def test_pieces():
     assert packing.pieces_of(1024, 1024) == [(0, 1024)]
     assert packing.pieces_of(2500, 1024) == [(0, 452), (452, 1024), (1476, 1024)]
@@ -517,6 +541,61 @@ def test_extraction_rows(spark):
     assert html_extract.extract("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+ARTICLE = "A long enough sentence, with commas, for the article here. " * 5
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<a "x' * 20_000, "<a" * 50_000, "<a b" * 20_000, "<div>" * 8000 + "</p>" * 8000, '<a b=">" ' * 20_000, "<script>" + "</script" * 50_000, "<svg>" * 50_000, "<ul>" + "<b>" * 4000 + "<li></li>" * 4000, "<p><table>" + "<b>" * 4000 + "<div></div>" * 4000,
+        "<li><ul>" + "<b>" * 4000 + "<li></li>" * 4000, "<!" * 50_000, "<a b='x>" * 20_000 + '"', "<a<" * 50_000 + ">", "<!--" * 50_000, "<b>" * 8000 + "<p></b>" * 8000, '<a b="' * 20_000 + ">" * 20_000, "<header>" * 8000, "<tr>" * 8000 + "<td>" * 8000, "&" * 200_000, "<p>" * 50_000,
+    ],
+)
+def test_broken_pages_take_no_time(page):
+    began = time.process_time()
+    html_extract.extract(page)
+    assert time.process_time() - began < 1
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<html><head><title>t</title><body><p>{ARTICLE}</p></body>", ARTICLE), (f"<head><title>t</title><p>{ARTICLE}</p>", ARTICLE), (f"<head><title>t</title></head><p>{ARTICLE}", ARTICLE),
+        (f"<body><form action=x><nav>menu</nav><div><p>{ARTICLE}</p><p>{ARTICLE}</p></div></form>", ARTICLE * 2), (f"<body><form><p>{ARTICLE}</p></form><article><p>Two.</p></article>", "Two."), (f"<div class=sidebar>{ARTICLE * 3}</div><article><p>{ARTICLE}</p></article>", ARTICLE),
+        (f"<article><h2 id='related-work'>Related work</h2><p>{ARTICLE}</p><h2 id='social-history'>Then</h2><p class='notice'>See.</p><div class='market-share'><p>It grew.</p></div></article>", f"Related work {ARTICLE} Then See. It grew."),
+        (f"<article><p>{ARTICLE}</p><div class='share-buttons'>Tweet</div><p class='ad'>Buy</p><div class='article-comments'><p>{ARTICLE}</p></div><footer>f</footer></article>", ARTICLE), (f'<article><p title="a > b">{ARTICLE}</p><p title="open>x</p></article>', ARTICLE + "x"),
+        (f"<article><p>{ARTICLE}<b>bold</p><p>next</b> more</p></article>", f"{ARTICLE}bold next more"), (f"<article><p>a &amp; b&nbsp;c {ARTICLE}</p><svg><p>{ARTICLE}</p></article>", f"a & b c {ARTICLE}{ARTICLE}"), ("<p class='notice'>only this</p>", "only this"), ("<p>x < y and a <= b</p>", "x < y and a <= b"),
+    ],
+)
+def test_articles_stay_whole(page, want):
+    assert html_extract.extract(page) == " ".join(want.split())
+
+
+def test_pages_against_another_parser(spark):
+    """The articles of the generated pages, read by the standard library's parser: all their words and no others, in order."""
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.depth, self.out = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            self.out += [" "] * (self.depth > 0 and tag not in ("b", "a", "i"))
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+
+        def handle_data(self, data):
+            self.out += [data] * (self.depth > 0)
+
+    for row in spark.read.parquet(f"{DATA}/pages.parquet").collect():
+        parser = Article()
+        parser.feed(row.html)
+        assert html_extract.extract(row.html) == " ".join("".join(parser.out).split())
+
+
 # passages
 
 
