@@ -19,11 +19,11 @@ BATCH_ROWS = 500
 BATCH_BYTES = 16 << 20
 
 
-#: Narrow rows that one task may hold without harm: joins of fewer rows are left to Spark.
-TASK_ROWS = 1 << 20
+#: Narrow rows of one key that a task takes without harm.
+TASK_ROWS = 100_000
 #: Rows of a few numbers that are broadcast at most.
 BROADCAST_ROWS = 500_000
-#: A key is hot if it has more than one row in so many; so there are fewer hot keys than this, however large the table.
+#: A key with more than one row in so many is hot; there are fewer of them than this, however large the table.
 HOT = 10_000
 
 
@@ -40,21 +40,18 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
-def meet(rows: DataFrame, known: DataFrame, key: str, task_rows: int = TASK_ROWS, broadcast_rows: int = BROADCAST_ROWS, hot: int = HOT) -> DataFrame:
+def meet(rows: DataFrame, known: DataFrame, key: str, task_rows: int = TASK_ROWS, hot: int = HOT) -> DataFrame:
     """The rows of ``rows`` whose ``key`` stands in ``known``, with the columns of ``known`` but ``uses``. No key's rows are one task's work.
 
-    ``known``: narrow rows, one for each key, already cut(); ``uses``: how many rows have the key. Up to ``broadcast_rows`` of them are broadcast. Beyond, keys
-    with more than 1 in ``hot`` of all uses, which are fewer than ``hot``, are broadcast; the others meet in a shuffled join, where none is hot.
-    If at most ``task_rows`` rows meet, the join is left to Spark."""
-    total, n = known.agg(F.coalesce(F.sum("uses"), F.lit(0)), F.count("*")).first()
-    plain = known.drop("uses")
-    if n <= broadcast_rows:
-        return rows.join(F.broadcast(plain), key)
-    if total <= task_rows:
-        return rows.join(plain, key)
-    often = F.broadcast(known.where(F.col("uses") > total / hot).drop("uses"))
-    rare = known.where(F.col("uses") <= total / hot).drop("uses")
-    return rows.join(often, key).unionByName(rows.join(often.select(key), key, "left_anti").join(rare.hint("merge"), key))
+    ``known``: narrow rows, one for each key, already cut(); ``uses``: how many rows have the key. Keys of more than ``task_rows`` rows and more than 1 in
+    ``hot`` of all uses, which are fewer than ``hot``, are broadcast. The others meet in a shuffled hash join, where the smaller side is built."""
+    total, most = known.agg(F.sum("uses"), F.max("uses")).first()
+    limit = max(task_rows, (total or 0) / hot)
+    if (most or 0) <= limit:
+        return rows.join(known.drop("uses").hint("shuffle_hash"), key)
+    often = F.broadcast(known.where(F.col("uses") > limit).drop("uses"))
+    rare = known.where(F.col("uses") <= limit).drop("uses")
+    return rows.join(often, key).unionByName(rows.join(often.select(key), key, "left_anti").join(rare.hint("shuffle_hash"), key))
 
 
 def cut(df: DataFrame, tasks_a_core: int | None = None) -> DataFrame:

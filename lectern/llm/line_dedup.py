@@ -82,36 +82,47 @@ def _slide(least_or_most, x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
+class Bounds(NamedTuple):
+    """Where tokens (runs of bytes other than ASCII white space) begin and end, and the number of the line that each stands in."""
+
+    first: np.ndarray
+    end: np.ndarray
+    line: np.ndarray
+
+
+def bounds_of(raw: np.ndarray) -> Bounds:
+    solid = np.zeros(len(raw) + 2, np.int8)
+    solid[1:-1] = _SOLID[raw]
+    edge = solid[1:] - solid[:-1]
+    first = np.flatnonzero(edge == 1)
+    return Bounds(first, np.flatnonzero(edge == -1), np.cumsum(raw == 10, dtype=np.int32)[first] if len(first) else np.zeros(0, np.int32))
+
+
 class Tokens:
-    """The tokens (runs of bytes other than ASCII white space) of some texts. ``at``: each text's first token, and the number of all at the end.
+    """The tokens of some texts. ``at``: each text's first token, and the number of all at the end.
 
     A token with a digit is a variable field; all fields have one code. A hash of tokens a to b comes from prefix sums of their codes, so its cost does not
     depend on their number."""
 
     def __init__(self, bodies: list[bytes]) -> None:
-        joined = b"\n".join(bodies)
-        raw = np.frombuffer(joined, np.uint8)
-        solid = np.zeros(len(raw) + 2, np.int8)
-        solid[1:-1] = _SOLID[raw]
-        edge = solid[1:] - solid[:-1]
-        self.first, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        n = len(self.first)
+        raw = np.frombuffer(b"\n".join(bodies), np.uint8)
+        first, end, self.line = bounds_of(raw)
+        n = len(first)
         code = np.zeros(n, np.uint64)
-        steps = np.unique(np.searchsorted(self.first, np.arange(0, len(raw), 4 * _GROUP)))
+        steps = np.unique(np.searchsorted(first, np.arange(0, len(raw), 4 * _GROUP)))
         for i, j in zip(steps.tolist(), [*steps[1:].tolist(), n], strict=True):  # long texts by parts, which begin with a token
             if i < j:
-                begin = self.first[i]
-                code[i:j] = _between(_sums(_BYTE[raw[begin : self.end[j - 1]]]), self.first[i:j] - begin, self.end[i:j] - begin)
-        code = _mixed(code + (self.end - self.first).astype(np.uint64))
+                begin = first[i]
+                code[i:j] = _between(_sums(_BYTE[raw[begin : end[j - 1]]]), first[i:j] - begin, end[i:j] - begin)
+        code = _mixed(code + (end - first).astype(np.uint64))
         digits = np.flatnonzero((raw - np.uint8(48)) < 10)
         if len(digits):
-            code[np.searchsorted(self.first, digits, "right") - 1] = _FIELD
-        self.line = np.cumsum(raw == 10, dtype=np.int32)[self.first] if n else np.zeros(0, np.int32)
-        self.at = np.searchsorted(self.first, np.cumsum([0, *(len(b) + 1 for b in bodies)]))
-        last = raw[self.end - 1] if n else raw[:0]
+            code[np.searchsorted(first, digits, "right") - 1] = _FIELD
+        self.at = np.searchsorted(first, np.cumsum([0, *(len(b) + 1 for b in bodies)]))
+        last = raw[end - 1] if n else raw[:0]
         self.stop = (last == 46) | (last == 33) | (last == 63)
         if (last == 0xA6).any():
-            self.stop |= (last == 0xA6) & (raw[self.end - 2] == 0x80) & (raw[self.end - 3] == 0xE2)
+            self.stop |= (last == 0xA6) & (raw[end - 2] == 0x80) & (raw[end - 3] == 0xE2)
         self._sum = _sums(code)
 
     def hash(self, a: np.ndarray, b: np.ndarray, tag: np.uint64) -> np.ndarray:
@@ -318,38 +329,36 @@ def _lost(rows: DataFrame) -> DataFrame:
 
 
 def without(body: bytes, gone: np.ndarray) -> tuple[bytes, int, int]:
-    """(text, lines dropped, cuts within lines): the text without the tokens of ``gone`` (first * 2 ** 31 + number), each with the white space before it."""
-    tokens = Tokens([body])
-    n = len(tokens.line)
+    """(text, lines dropped, cuts within lines): the text without the tokens of ``gone`` (first * 2 ** 31 + number), each with the white space before it.
+
+    A line that loses all its tokens goes with its end."""
+    raw = np.frombuffer(body, np.uint8)
+    first, end, line = bounds_of(raw)
+    n = len(first)
+    if not n:
+        return body, 0, 0
     edge = np.zeros(n + 1, np.int32)
-    first = np.minimum(gone >> 31, n)
-    np.add.at(edge, first, 1)
-    np.add.at(edge, np.minimum(first + (gone & ((1 << 31) - 1)), n), -1)
+    place = np.minimum(gone >> 31, n)
+    np.add.at(edge, place, 1)
+    np.add.at(edge, np.minimum(place + (gone & ((1 << 31) - 1)), n), -1)
     flag = np.cumsum(edge)[:n] > 0
-    lines = body.split(b"\n")
-    at = np.searchsorted(tokens.line, np.arange(len(lines) + 1)).tolist()
-    lost = np.concatenate((np.zeros(1, np.int64), np.cumsum(flag)))[at].tolist()
-    flags, ends, out, dropped, cuts, begin = flag.tolist(), tokens.end.tolist(), [], 0, 0, 0
-    for k, line in enumerate(lines):
-        i, j = at[k], at[k + 1]
-        if lost[k + 1] == lost[k]:
-            out.append(line)
-        elif lost[k + 1] - lost[k] == j - i:
-            dropped += 1
-        else:
-            kept, end = [], 0
-            for x in range(i, j):
-                if flags[x]:
-                    cuts += x == i or not flags[x - 1]
-                else:
-                    kept.append(line[end : ends[x] - begin])
-                end = ends[x] - begin
-            out.append(b"".join(kept) + line[end:])
-        begin += len(line) + 1
-    return b"\n".join(out), dropped, cuts
-
-
-def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", task_rows: int = TASK_ROWS, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES, hot: int = HOT) -> DataFrame:
+    heads = np.concatenate((np.zeros(1, np.int64), np.flatnonzero(raw == 10) + 1, np.full(1, len(raw) + 1)))  # where lines begin, and one past the end
+    opens = np.append(True, line[1:] != line[:-1])
+    at = np.flatnonzero(opens)
+    whole = np.logical_and.reduceat(flag, at)  # by line with tokens
+    dropped = line[at[whole]]
+    mixed = flag & ~np.repeat(whole, np.diff(np.append(at, n)))
+    begin = np.where(opens, heads[line], np.append(0, end[:-1]))
+    change = np.zeros(len(raw) + 2, np.int32)
+    np.add.at(change, np.concatenate((begin[mixed], heads[dropped])), 1)
+    np.add.at(change, np.concatenate((end[mixed], heads[dropped + 1])), -1)
+    out = raw[np.cumsum(change)[: len(raw)] == 0].tobytes()
+    if len(dropped) and dropped[-1] == len(heads) - 2 and len(dropped) < len(heads) - 1:
+        out = out[:-1]  # the last line is gone, so the one before it needs no end
+    return out, len(dropped), int((mixed & (opens | ~np.append(False, mixed[:-1]))).sum())
+
+
+def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", task_rows: int = TASK_ROWS, hot: int = HOT, broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` with every recurring passage left in one document alone, and n_lines, n_dropped (lines) and n_cut (cuts within lines) added (columns of
     these names are replaced).
 
@@ -363,8 +372,8 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A template of two documents (lines under LONG tokens: of SHORT_ROWS) stays in the one of the smallest hash of id and text, there once. No document is
     exempt: exact copies are documents too, and those of a text of LONG or more tokens lose all of it without a look at its units. Rows of equal
     id and text are one document. Tokens of any length and texts of any length are taken whole, one text's tokens at a time. A null text stays null, with
-    no lines; an empty one is one line. An empty table gives an empty one. The last arguments are those of meet(), and the bytes of places that are broadcast."""
-    limits = {"task_rows": task_rows, "broadcast_rows": broadcast_rows, "hot": hot}
+    no lines; an empty one is one line. An empty table gives an empty one. The last arguments are those of meet(), and the rows and bytes that are broadcast where texts meet ids; more meet them in a shuffled join."""
+    limits = {"task_rows": task_rows, "hot": hot}
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped", "n_cut")
     bounded_batches(spark)
@@ -374,8 +383,8 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = cut(narrow.groupBy("whole").agg(F.min("h").alias("kept"), F.max("h").alias("other"), F.count("*").alias("uses")).where("kept <> other").drop("other"), 4)
     copies = cut(meet(narrow, texts, "whole", **limits).where("h <> kept").select("doc_id", "h").distinct(), 4)
     by_row = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h"))
-    if copies.count() <= broadcast_rows:
-        source = source.join(F.broadcast(copies.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))), by_row, "left_anti")
+    taken = copies.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"))
+    source = source.join(F.broadcast(taken) if copies.count() <= broadcast_rows else taken.hint("merge"), by_row, "left_anti")
     parsed = cut(parse(source))
     long = F.abs(F.get("ln", F.col("i"))) >= LONG
     lines = _rows(parsed, "lt", n=F.get("ln", F.col("i")), place=F.get("lp", F.col("i")), **{f"k{k}": F.when(long, F.get("lk", F.col("i") * PARTS + k)) for k in range(PARTS)})
@@ -401,7 +410,7 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     gone = gone.unionByName(_lost(found)).unionByName(_lost(meet(grams, cut(recurring(grams), 4), "t", **limits)))
     gone = gone.unionByName(copies.select("doc_id", "h", F.lit((1 << 31) - 1).cast("long").alias("gone")))
     drops = cut(gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_list("gone").alias("__gone")), 4)
-    del gone, found, grams, beside, asked, source, copies
+    del gone, found, grams, beside, asked, source, copies, taken
     release(spark)
     named = docs.withColumn("__key", F.xxhash64(docs[doc_id], docs[text]))
     joined = named.join(drops, named[doc_id].eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left").drop("__key")
