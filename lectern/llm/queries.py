@@ -111,12 +111,13 @@ OP6_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
 a AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS idx,
-      length(regexp_replace(role, '[\\<>]', 'xx', 'g')) + length(regexp_replace(text, '[\\<>]', 'xx', 'g')) + 15 AS shown FROM t),
-b AS (SELECT *, role = 'system' AND idx = 0 AS leads,
-      CASE WHEN role = 'system' AND idx = 0 THEN 0 ELSE ceil(strlen(text) / 4.0)::BIGINT + 4 END AS tokens FROM a),
-c AS (SELECT *, greatest(1024 - coalesce(max(CASE WHEN leads THEN ceil(strlen(text) / 4.0)::BIGINT + 4 END) OVER (PARTITION BY conv_id), 0), 2) AS room,
-      coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM b),
-d AS (SELECT *, before // (room // 2) AS cell, tokens > room // 2 AS alone FROM c),
+      length(regexp_replace(role, '[\\<>]', 'xx', 'g')) + length(regexp_replace(text, '[\\<>]', 'xx', 'g')) + 15 AS shown,
+      strlen(regexp_replace(role, '[\\<>]', 'xx', 'g')) + strlen(regexp_replace(text, '[\\<>]', 'xx', 'g')) + 15 AS cost FROM t),
+b AS (SELECT *, role = 'system' AND idx = 0 AS leads, CASE WHEN role = 'system' AND idx = 0 THEN 0 ELSE cost END AS tokens FROM a),
+c AS (SELECT *, greatest(1024 - coalesce(max(CASE WHEN leads THEN cost END) OVER (PARTITION BY conv_id), 0), 2) AS room,
+      coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM b),
+c2 AS (SELECT *, tokens > room // 2 AS alone FROM c),
+d AS (SELECT *, before // (room - coalesce(max(CASE WHEN NOT alone THEN tokens END) OVER (PARTITION BY conv_id), 0)) AS cell FROM c2),
 e AS (SELECT *, idx > 0 AND (cell <> lag(cell) OVER w OR alone OR lag(alone) OVER w) AS opens FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY idx)),
 f AS (SELECT *, sum(opens::INT) OVER (PARTITION BY conv_id ORDER BY idx) AS win FROM e),
 g AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id, win) AS needs, max(win) OVER (PARTITION BY conv_id) AS last FROM f),

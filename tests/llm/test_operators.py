@@ -394,7 +394,7 @@ def test_chat_windows_read_back(spark):
                 assert turns[0] == said[0]
             fresh = [len(t.encode()) for _, t in turns[w.n_repeated :]]
             if len(fresh) > 1 and len(said[0][1]) < 300:
-                assert sum(-(-n // 4) + 4 for n in fresh) <= 204
+                assert sum(-(-n // 4) + 4 for n in fresh) <= 204 and sum(n + 15 for n in fresh) <= 200
             assert w.n_repeated <= 3
         assert got == said
         assert loss == [t.replace("\\", "\\b").replace("<", "\\l").replace(">", "\\g") for r, t in said if r == "assistant"]
@@ -403,6 +403,25 @@ def test_chat_windows_read_back(spark):
     assert chat_format.format_windows(df.limit(0)).count() == 0
 
 
+def test_windows_keep_the_budget_in_real_tokens(spark):
+    """Of every window that is not marked, the ids are at most the budget; a marked one holds a turn that can't be less, or a system turn."""
+    encode = packing.encoder()
+    rng = random.Random(14)
+    made = [(c, t, rng.choice(["user", "assistant"]) if t else "system", "".join(rng.choice(["word ", "漢", "é", "<", "\\", "\n", "12"]) for _ in range(rng.choice([3, 40, 200, 900] if c % 4 == 0 else [3, 20, 50])))) for c in range(30) for t in range(rng.randrange(1, 40))]
+    turns = spark.read.parquet(f"{DATA}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame([(10_000 + c, t, r, x) for c, t, r, x in made], turns.schema))
+    windows = chat_format.format_windows(turns).collect()
+    assert any(w.over_budget for w in windows) and len({w.conv_id for w in windows}) == turns.select("conv_id").distinct().count()
+    for w in windows:
+        assert w.over_budget == (len(w.formatted.encode()) > chat_format.BUDGET)
+        assert w.over_budget or len(encode(w.formatted)) <= chat_format.BUDGET
+        if w.over_budget:
+            own = read(w.formatted)
+            assert len(own) <= 4 and len(own) - w.n_repeated <= 1 + (own[0][0] == "system")
+    counted = turns.withColumn("n", F.lit(300))
+    assert all(w.over_budget == (w.formatted.count("</turn>") > 3) and w.formatted.count("</turn>") <= 3 for w in chat_format.format_windows(counted, tokens="n").collect())
+
+
 def test_chat_runs_no_python(spark):
     df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id bigint, turn bigint, role string, text string")
     assert not re.search("Python|Pandas|Arrow", chat_format.digest(chat_format.format_windows(df))._jdf.queryExecution().executedPlan().toString())
