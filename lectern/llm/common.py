@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -64,9 +65,13 @@ def cut(df: DataFrame, tasks_a_core: int | None = None) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffles and checkpoints that no plan refers to any more; it does so only when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffles and checkpoints that no plan refers to any more; it does so only when the driver collects its garbage.
+
+    What the first collection lets go of, as the last job's stages, the second finds."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -393,10 +393,12 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     gone = _lost(meet(lines, known, "t", **limits))
     sentences = _rows(parsed, "st", n=F.get("sn", F.col("i")), place=F.get("sp", F.col("i")))
     gone = cut(gone.unionByName(_lost(meet(sentences, cut(recurring(sentences), 4), "t", **limits))))
+    del lines, sentences, known
+    release(spark)
     before = F.when(F.col("i") > 0, F.get("ar", F.col("i") - 1)).otherwise(0)
     anchors = _rows(parsed, "at", place=F.get("ap", F.col("i")), way=F.get("aw", F.col("i")).cast("int"), after=F.get("ar", F.col("i")), before=before)
     found = cut(meet(anchors, cut(recurring(anchors), 4), "t", **limits), 4)
-    del parsed, lines, sentences, anchors, known
+    del parsed, anchors
     release(spark)
     same = [((F.min(c) == F.max(c)) & (F.min(c) != 0)).alias(f"same_{c}") for c in ("before", "after")]
     found = meet(found, cut(found.groupBy("t").agg(F.count("*").alias("uses"), *same), 4), "t", **limits)
