@@ -361,6 +361,64 @@ def test_rules_reject_outliers_and_keep_the_rest(spark, odd, empty):
     assert quality_rules.apply_rules(nulls).first().kept
 
 
+def plain_mcd(x, rng):
+    """FAST-MCD with floors: 300 random starts of 7 rows, concentration steps to the end, the least determinant."""
+    floor = np.diag(np.square(quality_rules.FLOORS))
+    near = -(-len(x) * 3 // 4)
+    best = None
+    for _ in range(300):
+        own = x[rng.choice(len(x), 7, replace=False)]
+        last = None
+        while True:
+            mean, cov = own.mean(0), np.cov(own.T, bias=True) + floor
+            det = np.linalg.slogdet(cov)[1]
+            if len(own) == near:
+                if last is not None and det >= last - 1e-9:
+                    break
+                last = det
+            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            own = x[np.argsort(d, kind="stable")[:near]]
+        if best is None or last < best[0]:
+            best = (last, mean, cov)
+    return best
+
+
+@pytest.mark.parametrize("limits", [{"broadcast_groups": 20_000, "task_rows": 100_000, "hot": 10_000}, {"broadcast_groups": 0, "task_rows": 0, "hot": 3}])
+def test_least_determinants_against_many_starts(spark, limits):
+    rng = np.random.default_rng(5)
+    groups, rows = {}, []
+    for g, (n, share) in enumerate([(200, 0.0), (160, 0.2), (60, 0.15), (400, 0.24)]):
+        mix = rng.normal(size=(6, 6)) * 0.15
+        x = rng.normal(size=(n, 6)) @ mix + rng.normal(size=6)
+        bad = int(share * n)
+        x[:bad] += rng.normal(size=6) * 3  # outliers side by side, the hard case
+        groups[f"g{g}"] = (x, bad)
+        rows += [(f"g{g}", *map(float, r)) for r in x]
+    df = spark.createDataFrame(rows, "key string, " + ", ".join(f"x{i} double" for i in range(6))).repartition(3)
+    got = {r.key: r for r in quality_rules.estimates(df, limits).collect()}
+    groups["*"] = (np.concatenate([x for x, _ in groups.values()]), 0)
+    assert set(got) == set(groups)
+    for key, (x, bad) in groups.items():
+        r = got[key]
+        det, mean, cov = plain_mcd(x, rng)
+        assert r.uses == len(x) and (key == "*" or r.det0 <= det + 0.15), (key, r.det0, det)
+        mine = np.array([r[f"m0_{i}"] for i in range(6)])
+        cov0 = quality_rules._covariance(np.zeros(6), [r[f"c0_{i}_{j}"] for i, j in quality_rules._PAIRS]) + np.diag(np.square(quality_rules.FLOORS))
+        d = np.einsum("ij,jk,ik->i", x - mine, np.linalg.inv(cov0), x - mine)
+        assert not bad or d[:bad].min() > np.quantile(d[bad:], 0.99)
+
+
+def test_verdicts_are_the_same_on_both_sides_of_the_limits(spark):
+    d = spark.read.parquet(f"{DATA}/documents.parquet")
+    plain = {r.doc_id: r for r in quality_rules.apply_rules(d).collect()}
+    dealt = {r.doc_id: r for r in quality_rules.apply_rules(d, broadcast_groups=0, task_rows=0, hot=5).collect()}
+    assert plain.keys() == dealt.keys() and all(plain[k].kept == dealt[k].kept for k in plain)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
+    good = [plain[k].kept for k, q in labels.items() if q == 1]
+    bad = [plain[k].kept for k, q in labels.items() if q == 0]
+    assert sum(good) > 0.95 * len(good) and sum(bad) < 0.2 * len(bad)
+
+
 # 6. chats
 
 
