@@ -46,13 +46,25 @@ def meet(rows: DataFrame, known: DataFrame, key: str, task_rows: int = TASK_ROWS
 
     ``known``: narrow rows, one for each key, already cut(); ``uses``: how many rows have the key. Keys of more than ``task_rows`` rows and more than 1 in
     ``hot`` of all uses, which are fewer than ``hot``, are broadcast. The others meet in a shuffled hash join, where the smaller side is built."""
+    often, rare = _by_uses(known, task_rows, hot)
+    if often is None:
+        return rows.join(rare.hint("shuffle_hash"), key)
+    return rows.join(often, key).unionByName(rows.join(often.select(key), key, "left_anti").join(rare.hint("shuffle_hash"), key))
+
+
+def unmet(rows: DataFrame, known: DataFrame, key: str, task_rows: int = TASK_ROWS, hot: int = HOT) -> DataFrame:
+    """The other rows of ``rows``, with their own columns."""
+    often, rare = _by_uses(known, task_rows, hot)
+    rows = rows if often is None else rows.join(often.select(key), key, "left_anti")
+    return rows.join(rare.select(key).hint("shuffle_hash"), key, "left_anti")
+
+
+def _by_uses(known: DataFrame, task_rows: int, hot: int) -> tuple[DataFrame | None, DataFrame]:
     total, most = known.agg(F.sum("uses"), F.max("uses")).first()
     limit = max(task_rows, (total or 0) / hot)
     if (most or 0) <= limit:
-        return rows.join(known.drop("uses").hint("shuffle_hash"), key)
-    often = F.broadcast(known.where(F.col("uses") > limit).drop("uses"))
-    rare = known.where(F.col("uses") <= limit).drop("uses")
-    return rows.join(often, key).unionByName(rows.join(often.select(key), key, "left_anti").join(rare.hint("shuffle_hash"), key))
+        return None, known.drop("uses")
+    return F.broadcast(known.where(F.col("uses") > limit).drop("uses")), known.where(F.col("uses") <= limit).drop("uses")
 
 
 def cut(df: DataFrame, tasks_a_core: int | None = None) -> DataFrame:

@@ -10,13 +10,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, map_column, narrow_batches
+from lectern.llm.common import HOT, TASK_ROWS, cut, map_column, meet, narrow_batches, unmet
 
 SHINGLE, BITS, SEED, DISTANCE = 4, 64, 42, 4
 #: A ring of 16 segments of 4 bits. Of two fingerprints within 4 bits, some start has every chain of l segments within l * 4 / 16 bits.
 SEGMENTS = 16
 #: Fingerprints of one bucket that one task compares at once; larger buckets are dealt to pairs of blocks.
 BLOCK = 4096
+#: Rounds of star steps after which components() gives up; their number grows as the logarithm of the longest way between nodes.
+ROUNDS = 200
 _STEP = 1 << 14
 
 
@@ -61,18 +63,25 @@ def key_bits(n: int) -> int:
     return 20 if n < 1 << 25 else 24 if n < 1 << 29 else 32
 
 
+#: The key widths, and what stands in front of a key: its width, start and form, as one number of 10 bits.
+WIDTHS = (20, 24, 32)
+
+
 def ring_keys(distinct: DataFrame, bits: int = 20) -> DataFrame:
-    """(fp, key): at each of the 16 starts, a key for each of forms(); its number stands in front of its bits."""
+    """(fp, key): at each of the 16 starts, a key for each of forms()."""
+    return keys_at(distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("start")), bits)
+
+
+def keys_at(starts: DataFrame, bits: int) -> DataFrame:
+    """(fp, key) for each of forms() at the starts of (fp, start)."""
     turned = F.expr("shiftleft(fp, 4 * start) | shiftrightunsigned(fp, 64 - 4 * start)")  # a shift by 64 is one by 0
     keys = []
-    for form in forms(bits):
-        key = F.lit(0).cast("long")
+    for k, form in enumerate(forms(bits)):
+        key = (F.lit((WIDTHS.index(bits) * SEGMENTS) << 5 | k) + F.shiftleft("start", 5)).cast("long")
         for segment in form:
             key = F.shiftleft(key, 4).bitwiseOR(F.shiftrightunsigned("turned", 60 - 4 * segment).bitwiseAND(F.lit(15).cast("long")))
-        keys.append(key)
-    starts = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("start")).select("fp", "start", turned.alias("turned"))
-    made = starts.select("fp", "start", F.posexplode(F.array(*keys)).alias("form", "bits"))
-    return made.select("fp", F.shiftleft((F.col("start") * len(keys) + F.col("form")).cast("long"), bits).bitwiseOR(F.col("bits")).alias("key"))
+        keys.append(F.shiftleft(key, 32 - bits))
+    return starts.select("fp", F.col("start").cast("int").alias("start")).select("fp", "start", turned.alias("turned")).select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
 def pigeonring(xor: np.ndarray, start: int, distance: int = DISTANCE) -> np.ndarray:
@@ -117,10 +126,9 @@ def _forest(fps: np.ndarray, start: int) -> list[tuple[int, int]]:
     return out
 
 
-def _links(batches: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
+def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows sorted by key, a and b (the pair of blocks) come in; one bucket or pair of blocks is held at a time."""
     held: list[pd.DataFrame] = []
-    each = len(forms(bits))
 
     def run(g: pd.DataFrame) -> list[tuple[int, int]]:
         out: list[tuple[int, int]] = []
@@ -129,7 +137,7 @@ def _links(batches: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]
         edges = np.concatenate(([0], change, [len(g)]))
         for i in np.flatnonzero(np.diff(edges) > 1):
             lo, hi = edges[i], edges[i + 1]
-            start = int(key[lo] >> bits) // each
+            start = int(key[lo] >> 37) % SEGMENTS
             if hi - lo > 2 or int(fp[lo] ^ fp[lo + 1]).bit_count() <= DISTANCE:
                 out += _forest(fp[lo:hi], start)
         return out
@@ -151,35 +159,44 @@ def _links(batches: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]
         yield pd.DataFrame(out, columns=["u", "v"])
 
 
-def links(distinct: DataFrame, block: int = BLOCK, bits: int | None = None) -> DataFrame:
+def links(distinct: DataFrame, block: int = BLOCK, bits: int | None = None, task_rows: int = TASK_ROWS, hot: int = HOT) -> DataFrame:
     """Links (u, v) between the distinct fingerprints in column ``fp`` that join exactly what links within 4 bits join.
 
-    A bucket of more than ``block`` fingerprints is dealt to tasks by pairs of its blocks, so no task holds more than two blocks."""
+    The fingerprints of a bucket of more than ``block`` get the wider keys of the same start, up to 32 bits: two that are to meet at a start are equal in one
+    form of every width. What is larger still is dealt to tasks by pairs of its blocks, so no task holds more than two blocks."""
     width = bits or key_bits(distinct.count())
-    keyed = ring_keys(distinct.select("fp"), width)
-    large = keyed.groupBy("key").count().where(F.col("count") > block).select("key", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    large = cut(large, 1)
-    if large.isEmpty():
-        dealt = keyed.select("key", F.lit(0).alias("a"), F.lit(0).alias("b"), "fp")
-    else:
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: o != own)
-        pairs = F.transform(others, lambda o: F.struct(F.least(own, o).alias("a"), F.greatest(own, o).alias("b")))
-        alone = F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))
-        dealt = keyed.join(large, "key", "left").select("key", "fp", F.explode(F.coalesce(pairs, alone)).alias("p")).select("key", "p.a", "p.b", "fp")
-    dealt = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
-    return dealt.mapInPandas(lambda batches: _links(batches, width), "u bigint, v bigint").distinct()
-
-
-def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """(node, root) for every node of ``edges`` (u, v); root: the smallest node of its component.
-
-    Alternating large-star and small-star steps, each a map-side combined minimum and an equi-join; no neighbourhood is gathered."""
-
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    keyed, dealt = ring_keys(distinct.select("fp"), width), []
+    for wider in (*(w for w in WIDTHS if w > width), None):
+        large = cut(keyed.groupBy("key").agg(F.count("*").alias("uses")).where(F.col("uses") > block).withColumn("blocks", F.ceil(F.col("uses") / block).cast("int")), 1)
+        if large.isEmpty():
+            break
+        dealt.append(unmet(keyed, large, "key", task_rows, hot).select("key", F.lit(0).alias("a"), F.lit(0).alias("b"), "fp"))
+        crowded = meet(keyed, large, "key", task_rows, hot)
+        if wider is None:
+            own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+            others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: o != own)
+            pairs = F.transform(others, lambda o: F.struct(F.least(own, o).alias("a"), F.greatest(own, o).alias("b")))
+            keyed = crowded.select("key", "fp", F.explode(pairs).alias("p")).select("key", "p.a", "p.b", "fp")
+        else:
+            keyed = cut(keys_at(crowded.select("fp", F.shiftright("key", 37).bitwiseAND(F.lit(15).cast("long")).alias("start")).distinct(), wider))
+    if "a" not in keyed.columns:
+        keyed = keyed.select("key", F.lit(0).alias("a"), F.lit(0).alias("b"), "fp")
+    for more in dealt:
+        keyed = keyed.unionByName(more)
+    keyed = keyed.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b")
+    return keyed.mapInPandas(_links, "u bigint, v bigint").distinct()
+
+
+def components(edges: DataFrame, rounds: int = ROUNDS, task_rows: int = TASK_ROWS, hot: int = HOT) -> DataFrame:
+    """(node, root) for every node of ``edges`` (u, v); root: the smallest node of its component. RuntimeError if it is not stable after ``rounds`` rounds.
+
+    Alternating large-star and small-star steps, each a map-side combined minimum and an equi-join; no neighbourhood is gathered. While there are more than
+    ``task_rows`` edges, a node of very many is met apart, as meet() has it."""
+
+    def star(e: DataFrame, large: bool, many: bool) -> DataFrame:
         both = e.select(F.col("u").alias("n"), F.col("v").alias("w")).union(e.select("v", "u")) if large else e.select(F.greatest("u", "v").alias("n"), F.least("u", "v").alias("w"))
-        low = both.groupBy("n").agg(F.min("w").alias("m")).select("n", F.least("n", "m").alias("m"))
-        joined = both.join(low, "n")
+        low = both.groupBy("n").agg(F.min("w").alias("m"), F.count("*").alias("uses")).select("n", F.least("n", "m").alias("m"), "uses")
+        joined = meet(both, cut(low, 4), "n", task_rows, hot) if many else both.join(low.drop("uses"), "n")
         if large:
             return joined.where("w > n").select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
         return joined.select(F.col("w").alias("u"), F.col("m").alias("v")).union(low.select(F.col("n").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
@@ -187,33 +204,35 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     edges = cut(edges.where("u <> v"), 4)
     state = None
     for _ in range(rounds):
-        edges = cut(star(star(edges, True), False), 4)
+        many = edges.count() > task_rows if state is None else state[0] > task_rows
+        edges = cut(star(star(edges, True, many), False, many), 4)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
-            break
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v"), F.col("v"))).distinct()
         state = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v"), F.col("v"))).distinct()
+    raise RuntimeError(f"the components are not stable after {rounds} rounds")
 
 
-def group_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def group_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", task_rows: int = TASK_ROWS, hot: int = HOT) -> DataFrame:
     """``docs`` without ``text``, with ``fingerprint`` (bigint) and ``component_id``.
 
     Fingerprints within 4 bits link; a component's id is the smallest ``doc_id`` in it (null where all are null). Every row keeps its own row, equal
     rows and null texts (fingerprint 0) included; an empty table gives an empty one. Columns of ``docs`` with these two names are replaced.
 
-    Equal fingerprints are one node from the start, so copies never meet in pairs."""
+    Equal fingerprints are one node from the start, so copies never meet in pairs; a fingerprint or component of very many rows meets its id apart, as meet()
+    has it."""
     narrow = cut(fingerprints(docs.drop("component_id"), text))
-    grouped = _roots(narrow, F.min(doc_id))
-    smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = grouped.join(smallest, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return narrow.join(of, F.col("fingerprint") == F.col("__fp"), "left").drop("__fp")
+    grouped = cut(_roots(narrow, F.min(doc_id), task_rows, hot), 4)
+    smallest = cut(grouped.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("uses")), 4)
+    of = cut(meet(grouped.select("root", F.col("fp").alias("fingerprint"), F.col("uses").alias("rows")), smallest, "root", task_rows, hot).select("fingerprint", "component_id", F.col("rows").alias("uses")), 4)
+    return meet(narrow, of, "fingerprint", task_rows, hot).select(*narrow.columns, "component_id")
 
 
-def _roots(narrow: DataFrame, first: Column) -> DataFrame:
-    """(fp, first, root) for each distinct fingerprint of ``narrow``."""
-    nodes = cut(narrow.groupBy(F.col("fingerprint").alias("fp")).agg(first.alias("first")))
+def _roots(narrow: DataFrame, first: Column, task_rows: int, hot: int) -> DataFrame:
+    """(fp, first, uses, root) for each distinct fingerprint of ``narrow``; uses: its rows."""
+    nodes = cut(narrow.groupBy(F.col("fingerprint").alias("fp")).agg(first.alias("first"), F.count("*").alias("uses")))
     with narrow_batches(narrow.sparkSession):
-        found = cut(components(links(nodes.select("fp"))), 4)
+        found = cut(components(links(nodes.select("fp"), task_rows=task_rows, hot=hot), task_rows=task_rows, hot=hot), 4)
     return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
@@ -222,7 +241,7 @@ def keep_one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str =
 
     Only ids, hashes and fingerprints are grouped; the texts meet the chosen ids in a semi-join."""
     narrow = cut(fingerprints(docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("__body")), "__body"))
-    grouped = _roots(narrow, F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")))
+    grouped = _roots(narrow, F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")), TASK_ROWS, HOT)
     chosen = cut(grouped.groupBy("root").agg(F.min("first").alias("c")).select(F.col("c.id").alias("__id"), F.col("c.h").alias("__h")))
     same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h"))
     kept = docs.join(chosen, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__h")), "left_semi")

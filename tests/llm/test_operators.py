@@ -548,6 +548,42 @@ def test_near_duplicates(spark, odd, empty):
     assert simhash.keep_one_of_each_group(empty).count() == 0
 
 
+def test_hot_keys_and_crowded_buckets(spark):
+    """A dense cloud of fingerprints, one fingerprint of most rows, and a hub: the same components with every limit at its least."""
+    rng = random.Random(15)
+    centre = rng.getrandbits(64)
+    cloud = {centre} | {centre ^ sum(1 << b for b in rng.sample(range(64), rng.choice([1, 2, 5, 9]))) for _ in range(160)} | {rng.getrandbits(64) for _ in range(40)}
+    signed = [x - (1 << 64) if x >> 63 else x for x in cloud]
+    distinct = spark.createDataFrame([(x,) for x in signed], "fp bigint")
+    plain = simhash.links(distinct)
+    hard = simhash.links(distinct, block=5, task_rows=0, hot=3)
+    want = brute_components({x: x % (1 << 64) for x in signed})
+    for edges, limits in ((plain, {}), (hard, {"task_rows": 0, "hot": 3})):
+        got = {r.node: r.root for r in simhash.components(edges, **limits).collect()}
+        assert {x: got.get(x, x) for x in signed} == want
+    chain = spark.createDataFrame([(k, k + 1) for k in range(60)], "u bigint, v bigint")
+    with pytest.raises(RuntimeError, match="not stable"):
+        simhash.components(chain, rounds=1)
+    rows = [(k, "one text for most of the rows here") for k in range(50)] + [(100 + k, f"{prose(rng, 9)}") for k in range(6)] + [(200, None), (201, "")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    a, b = ({(r.doc_id, r.fingerprint, r.component_id) for r in simhash.group_near_duplicates(d, **x).collect()} for x in ({}, {"task_rows": 0, "hot": 2}))
+    assert a == b and len(a) == len(rows) and {c for i, _, c in a if i < 50} == {0} and {c for i, _, c in a if i >= 200} == {200}
+
+
+def brute_components(prints):
+    """The smallest name that each can reach by links of 4 bits or fewer."""
+    out = {}
+    for x in sorted(prints):
+        if x not in out:
+            out[x], todo = x, [x]
+            while todo:
+                p = prints[todo.pop()]
+                near = [y for y in prints if y not in out and (p ^ prints[y]).bit_count() <= 4]
+                out.update(dict.fromkeys(near, x))
+                todo += near
+    return out
+
+
 # 8. and 10. classifiers
 
 
