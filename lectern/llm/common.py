@@ -46,25 +46,27 @@ def meet(rows: DataFrame, known: DataFrame, key: str, task_rows: int = TASK_ROWS
 
     ``known``: narrow rows, one for each key, already cut(); ``uses``: how many rows have the key. Keys of more than ``task_rows`` rows and more than 1 in
     ``hot`` of all uses, which are fewer than ``hot``, are broadcast. The others meet in a shuffled hash join, where the smaller side is built."""
-    often, rare = _by_uses(known, task_rows, hot)
-    if often is None:
-        return rows.join(rare.hint("shuffle_hash"), key)
-    return rows.join(often, key).unionByName(rows.join(often.select(key), key, "left_anti").join(rare.hint("shuffle_hash"), key))
+    plain, often = known.drop("uses"), _often(known, key, task_rows, hot)
+    if not often:
+        return rows.join(plain.hint("shuffle_hash"), key)
+    is_hot = F.col(key).isin(often)
+    return rows.where(is_hot).join(F.broadcast(plain.where(is_hot)), key).unionByName(rows.where(~is_hot).join(plain.where(~is_hot).hint("shuffle_hash"), key))
 
 
 def unmet(rows: DataFrame, known: DataFrame, key: str, task_rows: int = TASK_ROWS, hot: int = HOT) -> DataFrame:
     """The other rows of ``rows``, with their own columns."""
-    often, rare = _by_uses(known, task_rows, hot)
-    rows = rows if often is None else rows.join(often.select(key), key, "left_anti")
-    return rows.join(rare.select(key).hint("shuffle_hash"), key, "left_anti")
+    often = _often(known, key, task_rows, hot)
+    rest, keys = rows, known.select(key)
+    if often:
+        rest, keys = rows.where(F.coalesce(~F.col(key).isin(often), F.lit(True))), keys.where(~F.col(key).isin(often))
+    return rest.join(keys.hint("shuffle_hash"), key, "left_anti")
 
 
-def _by_uses(known: DataFrame, task_rows: int, hot: int) -> tuple[DataFrame | None, DataFrame]:
+def _often(known: DataFrame, key: str, task_rows: int, hot: int) -> list:
+    """The hot keys: fewer than ``hot``."""
     total, most = known.agg(F.sum("uses"), F.max("uses")).first()
     limit = max(task_rows, (total or 0) / hot)
-    if (most or 0) <= limit:
-        return None, known.drop("uses")
-    return F.broadcast(known.where(F.col("uses") > limit).drop("uses")), known.where(F.col("uses") <= limit).drop("uses")
+    return [r[0] for r in known.where(F.col("uses") > limit).select(key).collect()] if (most or 0) > limit else []
 
 
 def cut(df: DataFrame, tasks_a_core: int | None = None) -> DataFrame:
@@ -113,6 +115,14 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or if the caller has such a column, ``name`` with underscores that none of its columns has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_column(df: DataFrame, column: str, schema: str, function: Callable[[list[bytes | None]], dict[str, list]]) -> DataFrame:
     """``df`` with the columns of ``schema`` added and ``column`` taken away.
 

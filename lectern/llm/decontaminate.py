@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, lower_ascii
+from lectern.llm.common import cut, lower_ascii, unused
 
 WINDOW = 10
 #: Windows of one broadcast block at most (a window is about 0.3 KB); a larger benchmark is joined block by block, each against all documents.
@@ -89,5 +89,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without an item window. Rows meet the verdicts by a hash of the text and the id, nulls being equal."""
-    bad = find_hits(docs, benchmark, doc_id, text).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct()
-    return docs.join(bad, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__h")), "left_anti")
+    own, hashed = unused(docs, "__id"), unused(docs, "__h")
+    bad = find_hits(docs, benchmark, doc_id, text).where("contaminated").select(F.col("doc_id").alias(own), F.col("h").alias(hashed)).distinct()
+    return docs.join(bad, docs[doc_id].eqNullSafe(F.col(own)) & (F.xxhash64(docs[text]) == F.col(hashed)), "left_anti")

@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from lectern.llm.common import map_column
+from lectern.llm.common import map_column, unused
 
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
 #: What ends a tag, or opens a quoted value within it.
@@ -319,4 +319,5 @@ def extract_pages(pages: DataFrame, html_column: str = "html", out: str = "text"
     Whole pages only; a null page gives an empty text, equal rows give equal rows, other columns stay (one named as ``out`` is replaced). A narrow map: no shuffle."""
     if out != html_column:
         pages = pages.drop(out)
-    return map_column(pages.withColumnRenamed(html_column, "__page"), "__page", f"`{out}` string", lambda batch: {out: [extract(None if x is None else x.decode()) for x in batch]})
+    page = unused(pages, "__page")
+    return map_column(pages.withColumnRenamed(html_column, page), page, f"`{out}` string", lambda batch: {out: [extract(None if x is None else x.decode()) for x in batch]})

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lectern.llm.common import BROADCAST_ROWS, HOT, TASK_ROWS, _arrow, bounded_batches, cut, meet, release
+from lectern.llm.common import BROADCAST_ROWS, HOT, TASK_ROWS, _arrow, bounded_batches, cut, meet, release, unused
 from lectern.llm.simhash import components
 
 #: Leading tokens that, after the token count, lead to a leaf of the tree.
@@ -411,17 +411,18 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     grams = _rows(beside, "t", place=F.get("p", F.col("i")), n=F.lit(LONG))
     gone = gone.unionByName(_lost(found)).unionByName(_lost(meet(grams, cut(recurring(grams), 4), "t", **limits)))
     gone = gone.unionByName(copies.select("doc_id", "h", F.lit((1 << 31) - 1).cast("long").alias("gone")))
-    drops = cut(gone.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(F.collect_list("gone").alias("__gone")), 4)
+    own, hashed, lost, row = (unused(docs, x) for x in ("__id", "__h", "__gone", "__key"))
+    drops = cut(gone.groupBy(F.col("doc_id").alias(own), F.col("h").alias(hashed)).agg(F.collect_list("gone").alias(lost)), 4)
     del gone, found, grams, beside, asked, source, copies, taken
     release(spark)
-    named = docs.withColumn("__key", F.xxhash64(docs[doc_id], docs[text]))
-    joined = named.join(drops, named[doc_id].eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left").drop("__key")
+    named = docs.withColumn(row, key)
+    here = lambda df: df.join(drops, df[doc_id].eqNullSafe(F.col(own)) & (df[row] == F.col(hashed)), "left").select(*docs.columns, lost)
     if drops.count() <= broadcast_rows:  # then texts that lose nothing stay where they are
-        hashes = F.broadcast(drops.select("__h").distinct())
-        moved = named.join(hashes, F.col("__key") == F.col("__h"), "left_semi")
-        joined = moved.join(drops, moved[doc_id].eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left").drop("__key")
-        stays = named.join(hashes, F.col("__key") == F.col("__h"), "left_anti").select(*docs.columns, F.lit(None).cast("array<bigint>").alias("__gone"))
-        joined = joined.select(*docs.columns, "__gone").unionByName(stays)
+        hashes = F.broadcast(drops.select(hashed).distinct())
+        moved = here(named.join(hashes, named[row] == F.col(hashed), "left_semi"))
+        joined = moved.unionByName(named.join(hashes, named[row] == F.col(hashed), "left_anti").select(*docs.columns, F.lit(None).cast("array<bigint>").alias(lost)))
+    else:
+        joined = here(named)
     schema = StructType([*docs.schema, *StructType.fromDDL("n_lines bigint, n_dropped bigint, n_cut bigint")])
     where, width = docs.columns.index(text), len(docs.columns)
     kind = _arrow(docs.schema[text].dataType.simpleString())
@@ -437,4 +438,4 @@ def dedup_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             arrays[where] = pa.array(bodies, pa.binary()).cast(kind)
             yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(x, pa.int64()) for x in (counts, dropped, cuts))], names=schema.names)
 
-    return joined.select(*docs.columns, "__gone").mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema)

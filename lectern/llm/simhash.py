@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import HOT, TASK_ROWS, cut, map_column, meet, narrow_batches, unmet
+from lectern.llm.common import HOT, TASK_ROWS, cut, map_column, meet, narrow_batches, unmet, unused
 
 SHINGLE, BITS, SEED, DISTANCE = 4, 64, 42, 4
 #: A ring of 16 segments of 4 bits. Of two fingerprints within 4 bits, some start has every chain of l segments within l * 4 / 16 bits.
@@ -44,7 +44,9 @@ def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint of ``text`` (a signed 64-bit integer) instead of it. A narrow map."""
-    return map_column(docs.drop(out).withColumnRenamed(text, "__text"), "__text", f"`{out}` bigint", lambda batch: {out: [fingerprint(x) for x in batch]})
+    docs = docs.drop(out)
+    body = unused(docs, "__text")
+    return map_column(docs.withColumnRenamed(text, body), body, f"`{out}` bigint", lambda batch: {out: [fingerprint(x) for x in batch]})
 
 
 def forms(bits: int) -> list[tuple[int, ...]]:
@@ -242,8 +244,9 @@ def keep_one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str =
     Only ids, hashes and fingerprints are grouped; the texts meet the chosen ids in a semi-join."""
     narrow = cut(fingerprints(docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("__body")), "__body"))
     grouped = _roots(narrow, F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")), TASK_ROWS, HOT)
-    chosen = cut(grouped.groupBy("root").agg(F.min("first").alias("c")).select(F.col("c.id").alias("__id"), F.col("c.h").alias("__h")))
-    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h"))
-    kept = docs.join(chosen, docs[doc_id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__h")), "left_semi")
+    own, hashed = unused(docs, "__id"), unused(docs, "__h")
+    chosen = cut(grouped.groupBy("root").agg(F.min("first").alias("c")).select(F.col("c.id").alias(own), F.col("c.h").alias(hashed)))
+    same = F.col("id").eqNullSafe(F.col(own)) & (F.col("h") == F.col(hashed))
+    kept = docs.join(chosen, docs[doc_id].eqNullSafe(F.col(own)) & (F.xxhash64(docs[text]) == F.col(hashed)), "left_semi")
     repeated = narrow.join(chosen, same).groupBy("id", "h").count().where("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id, text])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import map_column
+from lectern.llm.common import map_column, unused
 from lectern.llm.quality_classifier import training_labels
 
 #: Labelled rows, and bytes of their texts, that the dictionaries and thresholds are fitted on at most.
@@ -23,6 +22,8 @@ LEVEL = 16
 GRAM = 4
 #: Precedes each window, in the dictionaries too, so that a window and its longest known beginning are one match.
 MARK = bytes(range(1, 7)) + bytes(range(14, 32))
+#: A longer window is in no dictionary; its own beginning is still compared with those that are.
+LONGEST_WINDOW = 64
 #: Distinct windows whose lengths a worker remembers.
 REMEMBERED = 400_000
 _WINDOW = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -89,26 +90,46 @@ def evidence(text: bytes | None, lengths: _Lengths) -> list[float]:
     return [float(top[0]), float(top[:2].sum()), float(top.sum()), float(np.sqrt((saved >= 3).sum() / n)), float(np.sqrt((saved >= 4).sum() / n)), float(np.sqrt((saved >= 5).sum() / n))]
 
 
-def train_dictionaries(toxic: list[bytes], plain: list[bytes]) -> tuple[bytes, bytes]:
-    """Raw dictionary contents, most frequent windows last (nearest). Toxic windows are those of toxic texts with a sequence of bytes that recurs in
-    toxic texts at 8 times its rate in ordinary ones; ordinary windows are the most frequent of ordinary texts."""
-    grams, words = (Counter(), Counter()), (Counter(), Counter())
-    for side, texts in enumerate((plain, toxic)):
-        for t in texts:
-            own = set(windows(t))
-            words[side].update(own)
-            grams[side].update(set().union(*map(_grams, own)) if own else ())
-    n_plain, n_toxic = max(1, len(plain)), max(1, len(toxic))
-    least = max(2, 0.02 * len(toxic))
-    telling = {g for g, n in grams[1].items() if n >= least and n / n_toxic > 8 * (grams[0][g] + 0.5) / n_plain}
-    chosen = [(n, w) for w, n in words[1].items() if not telling.isdisjoint(_grams(w)) and n / n_toxic > 3 * words[0][w] / n_plain]
-    known = {w for _, w in chosen}
-    usual = [(n, w) for w, n in words[0].items() if w not in known]
-
-    def content(ranked: list[tuple[int, bytes]], most: int) -> bytes:
-        return b"".join(MARK + w[:64] + b" " for _, w in reversed(sorted(ranked, key=lambda x: (-x[0], x[1]))[:most]))
+class _Counts:
+    """In how many texts each window and each sequence of GRAM bytes stands, by label and fold; counted once for all choices of folds."""
 
-    return content(usual, PLAIN_WINDOWS), content(chosen, TOXIC_WINDOWS)
+    def __init__(self, texts: list[bytes], label: np.ndarray, fold: np.ndarray, folds: int) -> None:
+        self.words: dict[bytes, int] = {}
+        names: dict[bytes, int] = {}
+        grams: list[np.ndarray] = []
+        side = label.astype(np.int64) * folds + fold
+        at: list[list[np.ndarray]] = [[] for _ in range(2 * folds)]
+        gram_at: list[list[np.ndarray]] = [[] for _ in range(2 * folds)]
+        for t, s in zip(texts, side.tolist(), strict=True):
+            own = set(windows(t))
+            for w in sorted(w for w in own if w not in self.words):
+                self.words[w] = len(self.words)
+                grams.append(np.array([names.setdefault(g, len(names)) for g in _grams(w)], np.int32))
+            if own:
+                ids = np.array([self.words[w] for w in own], np.int32)
+                at[s].append(ids)
+                gram_at[s].append(np.unique(np.concatenate([grams[i] for i in ids])))
+        count = lambda parts, n: np.stack([np.bincount(np.concatenate(p), minlength=n) if p else np.zeros(n, np.int64) for p in parts]).reshape(2, folds, n)
+        self.by_word, self.by_gram = count(at, len(self.words)), count(gram_at, len(names))
+        self.texts = np.bincount(side, minlength=2 * folds).reshape(2, folds)
+        self.sizes = np.array([len(g) for g in grams], np.int64)
+        self.grams = np.concatenate(grams) if grams else np.zeros(0, np.int32)
+
+    def dictionaries(self, folds: list[int]) -> tuple[bytes, bytes]:
+        """Raw dictionary contents from the texts of ``folds``, most frequent windows last (nearest). Toxic windows are those of toxic texts with a sequence of
+        bytes that recurs in toxic texts at 8 times its rate in ordinary ones; ordinary windows are the most frequent of ordinary texts."""
+        (plain, toxic), (g_plain, g_toxic), (n_plain, n_toxic) = (x[:, folds].sum(axis=1) for x in (self.by_word, self.by_gram, self.texts))
+        n_plain, n_toxic = max(1, n_plain), max(1, n_toxic)
+        telling = (g_toxic >= max(2, 0.02 * n_toxic)) & (g_toxic / n_toxic > 8 * (g_plain + 0.5) / n_plain)
+        has = np.logical_or.reduceat(telling[self.grams], np.cumsum(self.sizes) - self.sizes) if len(self.sizes) else np.zeros(0, bool)
+        chosen = has & (toxic > 0) & (toxic / n_toxic > 3 * plain / n_plain)
+        names = list(self.words)
+
+        def content(of: np.ndarray, n: np.ndarray, most: int) -> bytes:
+            ranked = sorted(((-int(n[i]), names[i]) for i in np.flatnonzero(of)))[:most]
+            return b"".join(MARK + w + b" " for _, w in reversed(ranked) if len(w) <= LONGEST_WINDOW)
+
+        return content(~chosen & (plain > 0), plain, PLAIN_WINDOWS), content(chosen, toxic, TOXIC_WINDOWS)
 
 
 def fit(texts: list[bytes], label: np.ndarray) -> Model:
@@ -116,14 +137,14 @@ def fit(texts: list[bytes], label: np.ndarray) -> Model:
     y = label.astype(float)
     if not len(y) or y.min() == y.max():
         return Model(b"", b"", np.zeros(6), np.ones(6), np.array([0.0] * 6 + [3.0 if len(y) and y[0] else -3.0]))
-    folds = 3 if len(texts) > 3000 else 8
+    folds = 3 if len(texts) > 1000 else 8
     of = np.arange(len(texts)) % folds
-    pick = lambda m: [texts[i] for i in np.flatnonzero(m)]
+    counts = _Counts(texts, label, of, folds)
     x = np.zeros((len(texts), 6))
     for k in range(folds):
-        lengths = _Lengths(*train_dictionaries(pick((of != k) & (label == 1)), pick((of != k) & (label == 0))))
+        lengths = _Lengths(*counts.dictionaries([f for f in range(folds) if f != k]))
         x[of == k] = [evidence(texts[i], lengths) for i in np.flatnonzero(of == k)]
-    plain, toxic = train_dictionaries(pick(label == 1), pick(label == 0))
+    plain, toxic = counts.dictionaries(list(range(folds)))
     mean, scale = x.mean(0), x.std(0) + 1e-6
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
     w, ridge = np.zeros(7), 1e-3 * np.eye(7)
@@ -136,18 +157,18 @@ def fit(texts: list[bytes], label: np.ndarray) -> Model:
     return Model(plain, toxic, mean, scale, w)
 
 
-def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """A model from at most SAMPLE_ROWS labelled documents of at most SAMPLE_BYTES bytes together, whole texts in order of a hash of the id; of rows
-    with one id, the smallest text is taken."""
+def train(docs: DataFrame, labels: DataFrame, allowed: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """A model from at most SAMPLE_ROWS labelled documents of at most SAMPLE_BYTES bytes together, whole texts in order of a hash of the id; a text that does not
+    fit any more is passed over, and the next ones are tried. Of rows with one id, the smallest text is taken. Without a row, or with one label alone, every
+    text gets one score."""
     sample = training_labels(labels, doc_id, label, allowed, SAMPLE_ROWS)
     joined = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__body")).join(F.broadcast(sample), "__id")  # at most SAMPLE_ROWS pairs of numbers
     sizes = joined.groupBy("__id", "__label").agg(F.min(F.octet_length("__body")).alias("n")).withColumn("h", F.xxhash64("__id")).orderBy("h", "__id").collect()
     total, ids = 0, []
     for r in sizes:
-        total += r["n"]
-        if total > SAMPLE_BYTES:
-            break
-        ids.append((r["__id"], r["__label"]))
+        if total + r["n"] <= sample_bytes:
+            total += r["n"]
+            ids.append((r["__id"], r["__label"]))
     if not ids:
         return fit([], np.zeros(0, int))
     chosen = F.broadcast(docs.sparkSession.createDataFrame(ids, sample.select("__id", "__label").schema))
@@ -166,4 +187,5 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text", out: str
         return {out: held["score"](batch)}
 
     docs = docs.drop(out)
-    return map_column(docs.withColumn("__text", F.col(text)), "__text", f"`{out}` double", run)
+    body = unused(docs, "__text")
+    return map_column(docs.withColumn(body, F.col(text)), body, f"`{out}` double", run)

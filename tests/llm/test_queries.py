@@ -74,3 +74,24 @@ def test_pipeline(spark, tmp_path):
             assert now == ids
         ids = now
     assert corpus_pipeline.run(spark, DATA).count() == docs.count()
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline
+
+    columns = "doc_id bigint, text string, lang string, source string, n_chars bigint, __text string, __score string, __id string, __h string, __gone string, __key string"
+    long = "slow words make a very long text " * 3000
+    rows = [(1, None), (2, ""), (3, "a b c"), (3, "a b c"), (None, "x y z w v"), (None, None), (4, long), (5, "\u00e9 \u00dcn\x0b\t* # <b>"), (6, "\n\n"), (7, long)]
+    odd = spark.createDataFrame([(i, t, None, None, None, "t", "s", "i", "h", "g", "k") for i, t in rows], columns)
+    kept = {"quality_classifier": None, "line_dedup": 10, "simhash_near_dedup": 5, "benchmark_decontamination": 10}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, DATA)
+        got = out.collect()
+        assert stage(spark, odd.limit(0), DATA).count() == 0
+        if name == "best_fit_packing":
+            assert sum(r.piece == 0 for r in got) == 10
+            continue
+        assert out.columns == odd.columns and all((r["__text"], r["__score"], r["__id"], r["__h"], r["__gone"], r["__key"]) == ("t", "s", "i", "h", "g", "k") for r in got)
+        assert kept[name] in (None, len(got)), (name, len(got))
+    of = {(r.doc_id, r.text) for r in corpus_pipeline.lines(spark, odd, DATA).collect()}
+    assert {t for i, t in of if i in (4, 7)} == {long, ""} and (1, None) in of and (3, "a b c") in of
