@@ -9,14 +9,18 @@ from lectern.functions.text import paragraphs, sentences, strip, titled, with_su
 from lectern.operators.corpus import missing
 
 
+#: Names that one message holds at most.
+NAMED = 10_000
+
+
 def check_inputs(transcripts: DataFrame, summaries: DataFrame, digest: str | None) -> None:
     """Raise one error that names every problem, before anything is written."""
     problems = []
     if transcripts.isEmpty():
         problems.append("no preprocessed transcripts found")
     for title, left, right in (("missing summaries", transcripts, summaries), ("missing transcripts", summaries, transcripts)):
-        if names := [r.stem for r in missing(left, right, "stem").orderBy("stem").collect()]:
-            problems.append(f"{title}: {', '.join(names)}")
+        if names := [r.stem for r in missing(left, right, "stem").orderBy("stem").take(NAMED + 1)]:
+            problems.append(f"{title}: {', '.join(names[:NAMED])}{', and more' * (len(names) > NAMED)}")
     if digest is None:
         problems.append("corpus digest is not a file")
     if problems:

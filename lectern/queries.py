@@ -4,9 +4,10 @@ The tables hold no Cyrillic text, so queries on transcript defects append fixed
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
@@ -14,9 +15,9 @@ from lectern.functions.ngrams import collapse_repeated_ngrams
 from lectern.operators import clips as C
 from lectern.operators import corpus as O
 from lectern.operators import topics as T
-from lectern.operators.export import export_files
-from lectern.plans.stages import each
-from lectern.providers import Deterministic
+from lectern.operators.export import check_inputs, export_files
+from lectern.plans.stages import each, exit_code
+from lectern.providers import Deterministic, classify, request_object
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -395,15 +396,34 @@ _A_SQL = f"""a AS (SELECT doc_id AS class, 1 AS pos, printf('topic_%02d', doc_id
 UNION ALL SELECT doc_id, 2, printf('topic_%02d', doc_id % 4 + 1), 'secondary', CASE WHEN doc_id % 9 = 0 THEN '**' ELSE 'нет такого места' END, {_ending_sql(_REASONS)}, text FROM documents WHERE doc_id % 5 = 1)"""
 
 
-@query(f"""WITH {_A_SQL}, b AS (SELECT *, {_evidence('evidence')} AS q, {_evidence('text')} AS body, count(*) OVER (PARTITION BY class, topic_id) AS uses FROM a)
+_VIOLATIONS = f"""WITH {_A_SQL}, b AS (SELECT *, {_evidence('evidence')} AS q, {_evidence('text')} AS body, count(*) OVER (PARTITION BY class, topic_id) AS uses FROM a)
 SELECT class, pos, 'topic_unknown' AS rule FROM b WHERE topic_id NOT IN ('topic_01', 'topic_02', 'topic_03', 'topic_04', 'topic_05') UNION ALL SELECT class, pos, 'topic_repeated' FROM b WHERE uses > 1
 UNION ALL SELECT class, pos, 'reason_blank' FROM b WHERE trim(reason) = '' UNION ALL SELECT class, pos, 'role' FROM b WHERE role NOT IN ('primary', 'secondary')
 UNION ALL SELECT class, pos, 'evidence_blank' FROM b WHERE q = '' UNION ALL SELECT class, pos, 'evidence_absent' FROM b WHERE q <> '' AND NOT contains(body, q)
-UNION ALL SELECT doc_id, 0, 'unmatched_reason' FROM documents WHERE CASE WHEN doc_id % 5 IN (0, 1) THEN doc_id % 7 >= 4 ELSE doc_id % 7 < 4 END""")
+UNION ALL SELECT doc_id, 0, 'unmatched_reason' FROM documents WHERE CASE WHEN doc_id % 5 IN (0, 1) THEN doc_id % 7 >= 4 ELSE doc_id % 7 < 4 END"""
+
+
+@query(_VIOLATIONS)
 def validate_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.assignment_violations(*_assignments(spark, sf_dir))
 
 
+@query(_VIOLATIONS)
+def answer_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules on typed answers, as they come from a model or a manifest."""
+    rows, topics, results = _assignments(spark, sf_dir)
+    ids = {r.id for r in topics.collect()}
+    given = rows.groupBy("class").agg(F.array_sort(F.collect_list(F.struct("pos", "topic_id", "role", "evidence", "reason"))).alias("assignments"))
+    answers = results.join(given, "class", "left").select(F.col("class").cast("string").alias("name"), "summary", F.to_json(F.struct(F.coalesce("assignments", F.array().cast(given.schema["assignments"].dataType)).alias("assignments"), "unmatched_reason")).alias("answer"))
+
+    def work(r) -> str:
+        return json.dumps(T.assignment_faults(json.loads(r.answer), ids, r.summary))
+
+    found = each(answers, work).select(F.col("name").cast("long").alias("class"), F.explode(F.from_json("body", "array<string>")).alias("fault"))
+    parts = F.split(F.regexp_replace("fault", "^assignment ", ""), ": ")
+    return found.select("class", F.when(F.size(parts) > 1, parts[0]).otherwise("0").cast("int").alias("pos"), F.element_at(parts, -1).alias("rule"))
+
+
 @query(f"WITH {_A_SQL} SELECT class, string_agg('Тема ' || CAST(right(topic_id, 2) AS INT), '|' ORDER BY pos) AS names FROM a WHERE topic_id <> 'topic_06' GROUP BY class")
 def assigned_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, topics, _ = _assignments(spark, sf_dir)
@@ -442,6 +462,96 @@ def export_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export_files(_docs(spark, sf_dir).select(stem, "text"), summaries, " all\n", 3)
 
 
+@query("SELECT 'missing summaries: ' || (SELECT string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY CAST(doc_id AS VARCHAR)) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) || '; corpus digest is not a file' AS problems")
+def input_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stems = [_table(spark, sf_dir, t).select(F.col("doc_id").cast("string").alias("stem")) for t in ("documents", "labels")]
+    try:
+        check_inputs(*stems, None)
+        said = None
+    except ValueError as e:
+        said = str(e)
+    return spark.createDataFrame([(said,)], "problems string")
+
+
+@query("SELECT n, CASE WHEN n < 1 THEN 'a paragraph has at least one sentence' END AS error FROM (VALUES (-1), (0), (1), (2)) t(n)")
+def chunk_size_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stems = _table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("stem"), F.lit("x").alias("text"), F.lit("y").alias("summary"))
+
+    def error(n: int) -> str | None:
+        try:
+            export_files(stems, stems, "", n)
+        except ValueError as e:
+            return str(e)
+        return None
+
+    return spark.createDataFrame([(n, error(n)) for n in (-1, 0, 1, 2)], "n int, error string")
+
+
+@query("SELECT row_number() OVER (ORDER BY string_split(name, '/'), doc_id) AS place, doc_id FROM (SELECT doc_id, lang || CASE WHEN doc_id % 3 = 0 THEN '-' ELSE '/' END || source AS name FROM documents)")
+def listing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names go by their parts, so that 'a/b' comes before 'a-b'."""
+    name = F.concat("lang", F.when(F.col("doc_id") % 3 == 0, "-").otherwise("/"), "source")
+    return _table(spark, sf_dir, "documents").select("doc_id", F.row_number().over(Window.orderBy(F.split(name, "/"), "doc_id")).cast("long").alias("place"))
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads are JSON without ASCII escapes; what a stage writes in Python, the engine reads."""
+    docs = _docs(spark, sf_dir, "doc_id", "text", "lang").withColumn("name", F.col("doc_id").cast("string"))
+    made = each(docs, lambda r: json.dumps({"text": r.text, "lang": r.lang}, ensure_ascii=False))
+    return made.select(F.col("name").cast("long").alias("doc_id"), F.from_json("body", "text string, lang string").alias("x")).select("doc_id", "x.text", "x.lang")
+
+
+class _Answers(Deterministic):
+    """Answers by the number in the text: complete objects, and what is none."""
+
+    def complete(self, system: str, text: str, max_tokens: int) -> tuple[str, str]:
+        asked = json.loads(text)
+        kind = asked["doc_id"] % 5
+        return ("incomplete" if kind == 1 else "completed"), {2: "[1]", 3: "{", 4: '"x"'}.get(kind, '{"n": 1}')
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS name, CASE doc_id % 5 WHEN 0 THEN 'succeeded' ELSE 'failed' END AS status,
+CASE doc_id % 5 WHEN 1 THEN 'RuntimeError: the answer is incomplete' WHEN 2 THEN 'RuntimeError: the answer is not an object' WHEN 3 THEN 'JSONDecodeError' WHEN 4 THEN 'RuntimeError: the answer is not an object' END AS error FROM documents""")
+def request_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = each(_docs(spark, sf_dir, "doc_id").select(F.col("doc_id").cast("string").alias("name")), lambda r: str(request_object(_Answers(), "", {"doc_id": int(r.name)}, 9)))
+    return made.select("name", "status", F.regexp_replace("error", "^(JSONDecodeError).*", "$1").alias("error"))
+
+
+class _Learning(Deterministic):
+    """Names a passage from the ``after``-th answer on."""
+
+    def __init__(self, after: int) -> None:
+        super().__init__()
+        self.after, self.asked = after, 0
+
+    def complete(self, system: str, text: str, max_tokens: int) -> tuple[str, str]:
+        self.asked += 1
+        told = "correction_request" in json.loads(text)
+        ident = "p1" if self.asked >= self.after and told == (self.asked > 1) else "p0"
+        return "completed", json.dumps({"assignments": [{"topic_id": "topic_01", "role": "primary", "reason": "r", "evidence_id": ident}], "unmatched_reason": ""})
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS name, CASE WHEN doc_id % 5 < 3 THEN 'succeeded' ELSE 'failed' END AS status, CASE WHEN doc_id % 5 < 3 THEN CAST(doc_id % 5 + 1 AS VARCHAR) END AS asked FROM documents")
+def corrected_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An answer that breaks a rule is asked for again, with what is wrong, three times in all."""
+
+    def work(r) -> str:
+        provider = _Learning(int(r.name) % 5 + 1)
+        classify(provider, "", {}, {"topic_01"}, "quote", {"p1": "quote"}, 9)
+        return str(provider.asked)
+
+    made = each(_docs(spark, sf_dir, "doc_id").select(F.col("doc_id").cast("string").alias("name")), work)
+    return made.select("name", "status", F.col("body").alias("asked"))
+
+
+@query("SELECT stage, failed, strict, CASE WHEN failed AND (strict OR stage = 'distribute') THEN 1 ELSE 0 END AS code FROM (VALUES ('transcribe'), ('preprocess'), ('summarize'), ('distribute')) s(stage), (VALUES (true), (false)) f(failed), (VALUES (true), (false)) t(strict)")
+def exit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = lambda failed: spark.range(1).select(F.lit("failed" if failed else "succeeded").alias("status"))
+    cases = [(s, f, t) for s in ("transcribe", "preprocess", "summarize", "distribute") for f in (True, False) for t in (True, False)]
+    return spark.createDataFrame([(s, f, t, exit_code(s, report(f), t)) for s, f, t in cases], "stage string, failed boolean, strict boolean, code int")
+
+
 _SECTIONS = " || chr(10) || chr(10) || ".join(f"'**{h}** ' || m || '.'" for h in ("Тема занятия", "Разобранные темы", "Глубина проработки", "Границы"))
 
 
