@@ -140,8 +140,10 @@ def wording(block: list[str], template: list[str], taken: set[int]) -> tuple[int
 def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
     """A row for each confirmed notice: doc_id, start, end (of its block, in code points), license, reduction, changed, exact.
 
-    Texts without a cue are passed over in the JVM; whole texts of the others go to Python. A null text has no notice; equal rows give equal rows; other
-    columns are not read. A narrow map."""
+    Texts without a cue are passed over in the JVM; whole texts of the others go to Python, one text at a time, however long: its work is in proportion to
+    its words and to the spots where a run of a template's words stands. Null and empty texts have no notice, an empty table gives an empty one, and equal
+    rows, null ids too, give equal rows. Of notices that share words the one that saves most stands, of ties the one with fewer changes, then the first by name.
+    Other columns are not read. A narrow map."""
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text")).where(F.col("__text").rlike(CUES))
     schema = StructType([source.schema["doc_id"], *StructType.fromDDL("start bigint, end bigint, license string, reduction double, changed bigint, exact boolean")])

@@ -104,6 +104,36 @@ def test_license_small_changes_and_none(spark, odd, empty):
     assert sorted((r.doc_id, r.license) for r in license_scan.scan_licenses(both).collect()) == [(1, "all-rights-reserved"), (1, "all-rights-reserved"), (1, "mit-line")]
 
 
+def test_licenses_against_plain_search(spark):
+    """Every place where a template's words stand in a row, in the generated documents and in planted ones, is within a notice that is found; and the others hold none."""
+    rng = random.Random(16)
+    known = license_scan.TEMPLATES
+    planted = []
+    for k in range(60):
+        parts = [f"{prose(rng, rng.randrange(0, 60))}{rng.choice(['. ', chr(10), ' '])}{known[n]}" for n in rng.sample(sorted(known), rng.randrange(0, 4))]
+        planted.append((100_000 + k, chr(10).join([*parts, prose(rng, 30)])))
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()] + planted
+    scanner, found, total = license_scan.Scanner(known), 0, 0
+    for _, text in rows:
+        got = scanner.scan(text)
+        own = license_scan.words(text)
+        for name, template in known.items():
+            words = license_scan.words(template)
+            spots = [i for i in range(len(own) - len(words) + 1) if own[i : i + len(words)] == words]
+            total += len(spots)
+            here = [g for g in got if g[2] == name or set(license_scan.words(known[g[2]])) >= set(words)]
+            found += min(len(spots), len(here))
+            assert bool(here) == bool(spots) or any(not g[5] for g in here) or any(set(license_scan.words(known[g[2]])) > set(words) for g in here)
+    assert total > 80 and found == total
+
+
+def test_a_long_block_with_many_notices():
+    text = " ".join(f"{license_scan.TEMPLATES['mit-line']} {'word' * 9} {k}." for k in range(3000)) + "x" * 1_000_000
+    began = time.process_time()
+    assert sum(g[2] == "mit-line" for g in license_scan.Scanner(license_scan.TEMPLATES).scan(text)) == 3000
+    assert time.process_time() - began < 20
+
+
 # 3. packing
 
 
