@@ -131,3 +131,13 @@ def accepted(value: Any, faults: list[str]) -> Any:
     if faults:
         raise ValueError("; ".join(faults))
     return value
+
+
+def check_topics(topics: Any) -> list[dict]:
+    """The topics of an answer; ValueError with all that is wrong with them."""
+    return accepted(topics, topic_faults(topics))
+
+
+def check_assignment(answer: Any, topic_ids: set[str], summary: str) -> dict:
+    """The answer for one class; ValueError with all that is wrong with it."""
+    return accepted(answer, assignment_faults(answer, topic_ids, summary))

@@ -17,7 +17,7 @@ from lectern.functions.ngrams import collapse_repeated_ngrams
 from lectern.operators import clips as C
 from lectern.operators import corpus as O
 from lectern.operators.export import check_inputs, export_files, with_stem
-from lectern.operators.topics import accepted, assignment_faults, topic_faults, topic_names
+from lectern.operators.topics import check_assignment, check_topics, topic_names
 from lectern.providers import Provider, classify, request_object
 from lectern.sources import config
 from lectern.sources import files as S
@@ -246,11 +246,11 @@ def distribute(spark: SparkSession, cfg: config.Distribute, provider: Provider)
         manifest = json.loads(S.read_one(spark, cfg.manifest))
         if manifest.get("fingerprint") != mark:
             raise ValueError("the manifest belongs to another corpus")
-        topics = accepted(manifest["topics"], topic_faults(manifest["topics"]))
+        topics = check_topics(manifest["topics"])
     else:
         texts = {r["class"]: r["summary"] for r in summaries.select("class", "summary").orderBy("class").toLocalIterator()}
         topics = request_object(provider, TOPICS_PROMPT, {"corpus_digest": digest, "class_summaries": texts}, cfg.topics_max_tokens).get("topics")
-        topics = accepted(topics, topic_faults(topics))
+        topics = check_topics(topics)
         manifest = {"fingerprint": mark, "topics": topics, "classes": {}}
         S.write_file(cfg.manifest, json.dumps(manifest, ensure_ascii=False, indent=2) + "\n")
     answers = f"{cfg.manifest}.answers/{mark}"
@@ -263,8 +263,7 @@ def distribute(spark: SparkSession, cfg: config.Distribute, provider: Provider)
 
     def work(r) -> str:
         if r.saved is not None:
-            saved = json.loads(r.saved)
-            return json.dumps(accepted(saved, assignment_faults(saved, ids, r.summary)), ensure_ascii=False)
+            return json.dumps(check_assignment(json.loads(r.saved), ids, r.summary), ensure_ascii=False)
         passages = {p["id"]: p["text"] for p in r.passages}
         payload = {"corpus_digest": digest, "topics": topics, "class_summary": r.summary}
         found = json.dumps(classify(provider, CLASSIFY_PROMPT, payload, ids, r.summary, passages, limit), ensure_ascii=False)

@@ -18,7 +18,7 @@ CONTENT = "path string, modificationTime timestamp, length bigint, content binar
 def transcripts(spark: SparkSession, src: str, cfg: config.Preprocess | None = None) -> DataFrame:
     """(name, text, status, error, words), a row for each new file; text is null where the file is not valid UTF-8 or cleaning leaves nothing."""
     raw = spark.readStream.format("binaryFile").schema(CONTENT).option("pathGlobFilter", "*.txt").load(src)
-    named = raw.select(F.url_decode(F.element_at(F.split(F.replace("path", F.lit("+"), F.lit("%2B")), "/"), -1)).alias("name"), F.col("content").cast("string").alias("raw"))
+    named = raw.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("content").cast("string").alias("raw"))
     ok = F.is_valid_utf8("raw")
     read = named.select("name", F.when(ok, F.col("raw")).alias("text"), F.when(ok, "succeeded").otherwise("failed").alias("status"), F.when(~ok, "not valid UTF-8").alias("error"))
     return read.withColumn("text", F.when(F.col("status") == "succeeded", cleaned_body(F.coalesce("text", F.lit("")), cfg or config.Preprocess()))).withColumn("words", word_count(F.col("text")))

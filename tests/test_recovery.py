@@ -59,11 +59,14 @@ def test_a_stopped_distribution_asks_for_the_rest_alone(spark, tmp_path, corpus)
     assert not (tmp_path / "manifest.json.work").exists()
 
 
-def test_an_incomplete_digest_is_not_written(spark, tmp_path):
-    class Short(Deterministic):
-        def complete(self, system, text, max_tokens):
-            return ("incomplete" if system == stages.REDUCE_PROMPT else "completed"), "x"
+class Short(Deterministic):
+    """Ends the digest before its time."""
+
+    def complete(self, system, text, max_tokens):
+        return ("incomplete" if system.startswith("Write a digest") else "completed"), "x"
 
+
+def test_an_incomplete_digest_is_not_written(spark, tmp_path):
     put(tmp_path / "in", a="one two.")
     cfg = config.Summarize(str(tmp_path / "in"), str(tmp_path / "sum"), str(tmp_path / "digest.txt"), str(tmp_path / "stats.json"))
     assert statuses(stages.summarize(spark, cfg, Short())) == {"a.txt": "succeeded", cfg.digest: "failed"}
