@@ -21,7 +21,7 @@ LIMIT, END_ID = 1024, 2
 LONGEST_BLANK = 100_000
 _BLANK = re.compile(r"\s+")
 #: Rows that share a length are numbered in shares of about so many rows, so no length is one task's work.
-ROWS_A_SHARE = 10_000
+ROWS_A_SHARE = 1_000
 #: Nodes that the branch-and-bound search may visit after its incumbent; a search that ends there keeps its best packing, which holds every piece.
 EFFORT = 3000
 #: Rounds of repair, and sequences of a kind that a round takes apart.
