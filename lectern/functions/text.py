@@ -156,15 +156,19 @@ def passages(x: Column) -> Column:
     return F.transform(pieces, lambda s, i: F.struct(F.concat(F.lit("p"), (i + 1).cast("string")).alias("id"), s.alias("text")))
 
 
-@F.pandas_udf(T.StringType())
-def nfc(x: pd.Series) -> pd.Series:
-    """Unicode composition, which Spark has no function for; in Arrow batches."""
-    return x.map(lambda s: None if s is None else unicodedata.normalize("NFC", s))
+def _arrow_text(function: Callable[[str], str]) -> Callable[[Column], Column]:
+    """A Column function that works on the texts in Arrow batches. The UDF is made anew for each column: one that has been used holds the JVM, and modules, which
+    travel to workers by value, could not be pickled with it."""
 
+    def run(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda s: None if s is None else function(s))
 
-@F.pandas_udf(T.StringType())
-def casefold(x: pd.Series) -> pd.Series:
-    return x.map(lambda s: None if s is None else s.casefold())
+    return lambda x: F.pandas_udf(run, T.StringType())(x)
+
+
+#: Unicode composition and case folding, which Spark has no functions for.
+nfc = _arrow_text(lambda s: unicodedata.normalize("NFC", s))
+casefold = _arrow_text(str.casefold)
 
 
 def fold_marks(x: Column) -> Column:

@@ -1,10 +1,13 @@
 """Functions on hand-worked cases and on random ones."""
 
+import json
 import random
+import sys
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lectern.functions import text as X
@@ -12,6 +15,7 @@ from lectern.functions.ngrams import collapse
 from lectern.operators import clips as C
 from lectern.operators import corpus as O
 from lectern.operators import topics as T
+from lectern.plans.stages import each
 
 
 def one(spark, value, f, kind="string"):
@@ -179,6 +183,15 @@ def test_assignment_rules(spark):
     assert one(spark, summary, X.normalize_evidence) == T.plain_evidence(summary)
 
 
+def test_modules_travel_to_workers_after_their_functions_were_used(spark):
+    assert one(spark, "Stra\u00dfe e\u0301", lambda x: X.casefold(X.nfc(x))) == "strasse \u00e9"
+    answer = json.dumps(assignment(evidence="**"))
+    answers = spark.createDataFrame([("a", answer)], "name string, answer string")
+    assert [r.body for r in each(answers, lambda r: ";".join(T.assignment_faults(json.loads(r.answer), {"topic_01"}, "flow"))).collect()] == ["assignment 1: evidence_blank"]
+    for name in [n for n in sys.modules if n.split(".")[0] == "lectern"]:
+        cloudpickle.dumps(sys.modules[name])
+
+
 def test_statistics(spark):
     texts = spark.createDataFrame([("a b",), ("a b c d",), ("",)], "text string")
     assert tuple(O.corpus_stats(texts, 140).first()) == (3, 6, 2.0, 140.0)
