@@ -633,6 +633,50 @@ def test_quality_ranking(spark, odd, empty):
     assert kept.columns == d.columns and kept.count() == sum(i % 3 > 0 for i in range(200))
 
 
+def brute_ranker(stats, label, ridge=1e-3):
+    """Mean, scale, weights and threshold from all pairs, one by one."""
+    x = quality_classifier.features(stats)
+    mean, scale = x.mean(0), x.std(0) + 1e-6
+    z = np.clip((x - mean) / scale, -6, 6)
+    d = (z[label == 1][:, None] - z[label == 0][None]).reshape(-1, z.shape[1])
+    w, step = np.zeros(z.shape[1]), np.ones(1)
+    while np.abs(step).max() > 1e-9:
+        p = 1 / (1 + np.exp(d @ w))
+        step = np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + ridge * np.eye(len(w)), ridge * w - (d * p[:, None]).mean(0))
+        w = w - step
+    return mean, scale, w, np.quantile(z @ w, (label == 0).mean())
+
+
+def test_ranker_learns_from_all_pairs(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["stone", "River", "go!", "a$", "77", "a$ a$", "on\non"]) for _ in range(rng.randrange(1, 60))) for _ in range(400)]
+    label = np.array([int(rng.random() < (0.2 if t.count("$") * 4 > len(t.split()) else 0.8)) for t in texts])
+    d = docs(spark, *enumerate(texts))
+    labels = spark.createDataFrame([(i, int(y)) for i, y in enumerate(label)], "doc_id bigint, quality int")
+    got = quality_classifier.train(d, labels, F.lit(True))
+    mean, scale, weights, threshold = brute_ranker(np.array([text_stats(t.encode()) for t in texts]), label)
+    assert np.allclose(got.mean, mean, atol=1e-8) and np.allclose(got.scale, scale, atol=1e-8)
+    assert np.allclose(got.weights, weights, atol=2e-4) and abs(got.threshold - threshold) < 2e-3
+
+
+def test_ranker_learns_from_every_labelled_row(spark):
+    d = spark.range(13_000).select(F.col("id").alias("doc_id"), F.expr("concat(repeat('word ', cast(id % 7 as int)), repeat('$ ', cast(id % 5 as int)))").alias("text"))
+    labels = d.select("doc_id", F.expr("cast(doc_id % 5 < 2 or doc_id % 11 = 0 as int)").alias("quality"))
+    ranker = quality_classifier.train(d, labels, F.lit(True))
+    stats = np.array([text_stats(r.text.encode()) for r in d.orderBy("doc_id").collect()])
+    label = np.array([r.quality for r in labels.orderBy("doc_id").collect()])
+    assert np.allclose(ranker.mean, quality_classifier.features(stats).mean(0), atol=1e-8)
+    assert abs(ranker.threshold - np.quantile(ranker.raw(stats), (label == 0).mean())) < 1e-8
+
+
+def test_training_rows_with_and_without_broadcast(spark):
+    d = docs(spark, (1, "a b"), (1, "a"), (2, None), (3, "not labelled"), (None, "x"), (4, "c $"))
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (4, 0), (4, None), (9, 1), (None, 1)], "doc_id bigint, quality int")
+    want = sorted([(1, *text_stats(b"a")), (0, *text_stats(None)), (0, *text_stats(b"c $"))])
+    for n in (4, 3):
+        assert sorted(map(tuple, quality_classifier.training_rows(d, labels, F.lit(True), broadcast_rows=n).collect())) == want
+
+
 def test_toxicity(spark, odd, empty):
     rng = random.Random(12)
     word = lambda: rng.choice("stone river walk green under seven later often house".split()) + rng.choice(["", "s", "ly", "ed", "ing"])
