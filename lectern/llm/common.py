@@ -26,6 +26,8 @@ TASK_ROWS = 100_000
 BROADCAST_ROWS = 500_000
 #: A key with more than one row in so many is hot; there are fewer of them than this, however large the table.
 HOT = 10_000
+#: Seconds after which release() no longer waits until the JVM knows what Python let go of.
+TOLD_S = 30
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -81,9 +83,15 @@ def cut(df: DataFrame, tasks_a_core: int | None = None) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffles and checkpoints that no plan refers to any more; it does so only when the driver collects its garbage.
 
+    py4j tells the JVM what Python let go of from a thread that, once idle, looks again a second later; a collection before that would free nothing of it.
     What the first collection lets go of, as the last job's stages, the second finds."""
+    waiting = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", ())  # without that thread the JVM is told at once
     for _ in range(2):
         gc.collect()
+        until = time.monotonic() + TOLD_S
+        while waiting and time.monotonic() < until:
+            time.sleep(0.05)
+        time.sleep(0.1)  # the last one is on its way
         spark.sparkContext._jvm.System.gc()
         time.sleep(0.5)
 

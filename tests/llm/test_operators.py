@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lectern.llm import chat_format, decontaminate, html_extract, license_scan, line_dedup, packing, quality_classifier, quality_rules, simhash, toxicity
-from lectern.llm.common import repeated_words, text_stats
+from lectern.llm.common import release, repeated_words, text_stats
 from tests.conftest import DATA
 
 DOCS = "doc_id bigint, text string, lang string, source string, score double, fingerprint string, n_words int, h int, place int"
@@ -845,6 +845,20 @@ def test_a_passage_wrapped_in_other_ways_goes_whole(spark):
     assert all([x for x in t.split() if x not in w] == [x for x in got[i] if x not in w] for i, t in rows)
 
 
+def test_release_waits_until_the_jvm_knows_what_python_let_go(spark):
+    """py4j's thread, once idle, looks for work a second later; collections before that free nothing."""
+    jvm, waiting = spark.sparkContext._jvm, spark.sparkContext._gateway._gateway_client.finalizer_deque
+    for _ in range(3):
+        thing = jvm.java.lang.Object()
+        ref = jvm.java.lang.ref.WeakReference(thing)
+        jvm.java.lang.Object()
+        while waiting:
+            time.sleep(0.001)
+        del thing
+        release(spark)
+        assert ref.get() is None
+
+
 def test_short_notices_in_long_blocks_and_repeated_ones():
     known = license_scan.TEMPLATES
     names = lambda text: sorted(x[2] for x in license_scan.Scanner(known).scan(text))
