@@ -188,9 +188,10 @@ def summarize(spark: SparkSession, cfg: config.Summarize, provider: Provider) ->
         return report
     if cfg.refresh or not _exists(spark, cfg.digest):
         digests = S.read_texts(S.list_directory(spark, cfg.dst, ".txt").where("NOT is_dir")).where("status = 'readable'")
-        prompt = O.digest_prompt(digests, text="text").select("prompt", "n_digests", O.metadata_lines(F.lit(stats.num_files), F.lit(stats.avg_words), F.lit(stats.words_per_minute)).alias("about")).first()
+        prompt, n = O.digest_prompt(digests, text="text")
+        about = spark.range(1).select(O.metadata_lines(F.lit(stats.num_files), F.lit(stats.avg_words), F.lit(stats.words_per_minute)).alias("about")).first().about
         try:
-            S.write_file(cfg.digest, _completed(provider, REDUCE_PROMPT, f"{prompt.n_digests} digests\n{prompt.prompt}\n\n{prompt.about}", cfg.reduce_max_tokens))
+            S.write_file(cfg.digest, _completed(provider, REDUCE_PROMPT, f"{n} digests\n{prompt}\n\n{about}", cfg.reduce_max_tokens))
         except RuntimeError as e:
             report = report.unionByName(spark.createDataFrame([(cfg.digest, "failed", f"{type(e).__name__}: {e}")], "name string, status string, error string"))
     S.write_file(cfg.stats, json.dumps({"num_files": stats.num_files, "avg_words": stats.avg_words, "words_per_minute": stats.words_per_minute}, indent=2))

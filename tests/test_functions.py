@@ -1,5 +1,6 @@
 """Functions on hand-worked cases and on random ones."""
 
+import hashlib
 import json
 import random
 import sys
@@ -196,3 +197,14 @@ def test_statistics(spark):
     texts = spark.createDataFrame([("a b",), ("a b c d",), ("",)], "text string")
     assert tuple(O.corpus_stats(texts, 140).first()) == (3, 6, 2.0, 140.0)
     assert O.corpus_stats(texts.limit(0), 140).count() == 0
+
+
+def test_digest_prompt_goes_part_by_part(spark):
+    rows = [(f"n{i}", f"т{i}\n" * (i % 4)) for i in range(3000)] + [("n7", "again"), ("n8", None), (None, "x")]
+    want = "\n".join(f"\n--- {n} ---\n{t}" for n, t in sorted(r for r in rows if None not in r))
+    digests = spark.createDataFrame(rows, "name string, summary string").repartition(7)
+    assert O.digest_prompt(digests) == (want, len(rows))
+    assert tuple(O.prompt_sha256(digests).first()) == (hashlib.sha256(want.encode()).hexdigest(), len(rows))
+    assert tuple(O.prompt_sha256(digests.limit(0)).first()) == (None, 0)
+    plan = O.prompt_sha256(digests)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
