@@ -5,6 +5,7 @@ from dataclasses import replace
 
 import pytest
 
+from lectern.operators.export import check_inputs, input_problems
 from lectern.plans import stages
 from lectern.providers import Deterministic, classify
 from lectern.sources import config, files
@@ -187,3 +188,17 @@ def test_shell(spark, tmp_path, capsys):
     assert main(["summarize", f"src={tmp_path}/in"]) == 1
     assert main(["summarize", f"src={tmp_path}/in", f"dst={tmp_path}/s", f"digest={tmp_path}/d", f"stats={tmp_path}/j", "provider=lectern.providers:Deterministic"]) == 0
     assert main(["export", f"transcripts={tmp_path}/s", f"summaries={tmp_path}/s", f"digest={tmp_path}/d", f"dst={tmp_path}/md"]) == 0
+
+
+def test_every_missing_name_is_said(spark):
+    """More names than the message once held, over several ranges."""
+    names = spark.range(12_000).selectExpr("CAST(id AS STRING) AS stem").repartition(5)
+    some = names.where("stem LIKE '1%'")
+    left = ", ".join(sorted(str(i) for i in range(12_000) if not str(i).startswith("1")))
+    assert input_problems(names, some, None).first().problems == f"missing summaries: {left}; corpus digest is not a file"
+    assert input_problems(some, names, "d").first().problems == f"missing transcripts: {left}"
+    assert input_problems(names, names, "d").first().problems is None
+    assert input_problems(names.limit(0), names.limit(0), "d").first().problems == "no preprocessed transcripts found"
+    assert input_problems(spark.createDataFrame([("",)], "stem string"), names.limit(0), "d").first().problems == "missing summaries: "
+    with pytest.raises(ValueError, match="8999, 9, 90, 900"):
+        check_inputs(names, some, "d")
