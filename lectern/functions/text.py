@@ -49,6 +49,10 @@ VOCABULARY_LIST = _FOLD + _java(rf"\b{_any(LIST_HEADS)}[,:]?\s*(?:\b{_any(PROMPT
 CORE = _FOLD + rf"\b{_any(CORE_TERMS)}\b"
 TAIL = _FOLD + rf"\b{_any(ENGLISH_TAIL)}\b"
 OUTSIDE_ALPHABET = "[^0-9A-Za-zА-Яа-яЁё" + ALLOWED_PUNCT.replace("-", "") + "-]+"
+#: A negated class costs Java about ten times as much as its runs.
+ALPHABET_RUN = OUTSIDE_ALPHABET.replace("^", "", 1)
+#: What every credit, anchor and head of a list has a letter of, in any case: texts without one are passed through.
+CYRILLIC = r"[\u0400-\u052f\u1c80-\u1c8f]"
 
 
 def strip(x: Column) -> Column:
@@ -64,18 +68,18 @@ def let(x: Column, f: Callable[[Column], Column]) -> Column:
 def replace_if(x: Column, pattern: str, condition: Callable[[Column], Column], needs: str, by: str = " ") -> Column:
     """Matches of ``pattern`` that meet ``condition`` become ``by``: gaps and matches are zipped, as a match alone cannot call a function.
 
-    ``needs``: a plain pattern that every text with such a match has; texts without it are passed through."""
+    ``needs``: a plain pattern that every text with such a match has, and with it a Cyrillic letter; texts without it are passed through."""
 
     def change(t: Column) -> Column:
         gaps = F.split(t, pattern, -1)
         matches = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda m: F.when(condition(m), F.lit(by)).otherwise(m))
-        return F.when(t.rlike(needs), F.array_join(F.zip_with(gaps, F.concat(matches, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")).otherwise(t)
+        return F.when(t.rlike(CYRILLIC) & t.rlike(needs), F.array_join(F.zip_with(gaps, F.concat(matches, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")).otherwise(t)
 
     return let(x, change)
 
 
 def strip_credits(x: Column) -> Column:
-    return F.regexp_replace(x, CREDITS, " ")
+    return F.when(x.rlike(CYRILLIC), F.regexp_replace(x, CREDITS, " ")).otherwise(x)
 
 
 def strip_prompt_echo(x: Column) -> Column:
@@ -95,7 +99,7 @@ def strip_vocabulary_list(x: Column) -> Column:
 
 def keep_alphabet(x: Column) -> Column:
     """Runs of other characters and of white space become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(x, OUTSIDE_ALPHABET, " "))
+    return F.array_join(F.regexp_extract_all(x, F.lit(ALPHABET_RUN), F.lit(0)), " ")
 
 
 def clean_text(x: Column) -> Column:
