@@ -3,7 +3,9 @@
 import hashlib
 import json
 import random
+import re
 import sys
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
@@ -218,3 +220,25 @@ def test_the_alphabet_is_read_in_runs(spark):
     assert one(spark, "Ог ᲀытяжение, ось, импульс, бедра, flow. x", X.clean_text) == one(spark, "Ог ᲀытяжение, ось, импульс, бедра, flow. x", lambda x: X.keep_alphabet(X.replace_if(x, X.VOCABULARY_LIST, X.is_vocabulary_list, "")))
     plan = spark.range(1).select(X.clean_text(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
     assert X.OUTSIDE_ALPHABET not in plan
+
+
+def test_only_runs_that_composition_can_change_reach_python(spark):
+    """Every character alone, and after and before others: outside the runs nothing changes and nothing joins."""
+    chars = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    around = ["e", "\u0301", "\u1100", "\u0327", "\u30ab", "я"]
+    texts = ["".join(chars[i : i + 5000]) for i in range(0, len(chars), 5000)] + ["".join(f"{a}{c}{a}" for c in chars[i : i + 5000]) for a in around for i in range(0, len(chars), 5000)]
+    texts += ["e\u0301\0\u0301x\u0323\u0307", "\0", "\u0301", "", "я\u0306\0\0и\u0306", "Ось — «é»", None]
+    got = spark.createDataFrame(list(enumerate(texts)), "k int, x string").repartition(4).select("k", X.nfc(F.col("x")).alias("y")).collect()
+    assert {r.k: r.y for r in got} == {k: t if t is None else unicodedata.normalize("NFC", t) for k, t in enumerate(texts)}
+    pairs = {(chr(int(d[0], 16)), chr(int(d[1], 16))) for c in chars if len(d := unicodedata.decomposition(c).split()) == 2 and "<" not in d[0]}
+    joining = {b for a, b in pairs if unicodedata.normalize("NFC", a + b) != a + b} | {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}
+    inside = re.compile("[" + re.sub(r"\\x\{(\w+)\}", lambda m: f"\\U{int(m[1], 16):08x}", X._COMPOSING) + "]")
+    firsts = {unicodedata.normalize("NFD", c)[0] for c in chars if not inside.match(c)}
+    assert [c for c in chars if not inside.match(c) and (unicodedata.combining(c) or unicodedata.normalize("NFC", c) != c)] == []
+    assert [c for c in joining if not inside.match(c)] == [] and not [c for c in firsts if inside.match(c)]
+
+
+def test_python_gets_runs_and_no_texts(spark, monkeypatch):
+    monkeypatch.setattr(X, "_compose", lambda x: F.concat(F.lit("<"), x, F.lit(">")))
+    cases = {"\u00e9 \u2014 \u00abя\u00bb": "\u00e9 \u2014 \u00abя\u00bb", "a long text e\u0301 and so on": "a long text <e\u0301> and so on", "e\u0301 b o\u0308c": "<e\u0301 b o\u0308>c"}
+    assert {x: one(spark, x, X.nfc) for x in cases} == cases
